@@ -241,12 +241,10 @@ def entity_contributions(
     )
 
 
-def distinct_entities(facts: DataFrame, entities: Mapping[str, str], spec: SnapshotSpec = V3) -> DataFrame:
-    """Distinct entities in the look-back window per snapshot that has any."""
-    bounds = calendar_bounds(facts, spec) if spec.guard else None
-    rows = entity_contributions(facts, entities, spec, bounds)
+def count_entities(contributions: DataFrame, entities: Mapping[str, str]) -> DataFrame:
+    """Distinct entities per (customer, snapshot) that has any."""
     return (
-        rows.groupBy(CUSTOMER, "_index")
+        contributions.groupBy(CUSTOMER, "_index")
         .agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in entities])
         .select(CUSTOMER, month_end(F.col("_index")).alias(SNAPSHOT), *entities)
     )
