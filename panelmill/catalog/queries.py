@@ -182,10 +182,27 @@ def null_zero_counts(spark, sf_dir):
     return Q.null_zero_counts(panel(spark, sf_dir, "v3", ALL_BLOCKS), [*R.CORE_FEATURES, TARGET])
 
 
+LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
 @query("numeric_summary")
 def numeric_summary(spark, sf_dir):
+    return summary(Q.numeric_summary(read_table(spark, sf_dir, "lineitem"), LINE_MEASURES, quartiles=False))
+
+
+@query("quartile_ranks")
+def quartile_ranks(spark, sf_dir):
+    """Share of rows up to each quartile: the sketch bounds ranks, not values."""
     lines = read_table(spark, sf_dir, "lineitem")
-    return summary(Q.numeric_summary(lines, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+    marks = Q.numeric_summary(lines, LINE_MEASURES).select("column_name", "p25", "p50", "p75")
+    values = lines.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in LINE_MEASURES]))
+    )
+    return (
+        values.join(F.broadcast(marks), "column_name")  # one row per column
+        .groupBy("column_name")
+        .agg(*[F.round(F.avg((F.col("v") <= F.col(p)).cast("int")), 3).alias(p) for p in ("p25", "p50", "p75")])
+    )
 
 
 def summary(df: DataFrame) -> DataFrame:
@@ -702,3 +719,124 @@ def attribution_headline(spark, sf_dir):
 
     names = ["order_count_180d", "recency_days", "customer_lifetime_days"]
     return rounded(headline(mean_absolute(panel(spark, sf_dir).select(*names), names)), 6, "top_value", "top_share_pct")
+
+
+# ---- models: no SQL counterpart ----------------------------------------------------------
+
+# Iterations of the registered fits; the functions default to the full sizes.
+FIT_SIZES = {"logistic": 2000, "forest": 50, "boosting": 30, "perceptron": 50}
+
+
+def _stored_dataset(spark, sf_dir) -> DataFrame:
+    return X.staged(dataset_v3(spark, sf_dir, ALL_BLOCKS), "dataset")
+
+
+def _parts(spark, sf_dir) -> dict[str, DataFrame]:
+    return D.split_frames(_stored_dataset(spark, sf_dir))
+
+
+def _fit_query(name: str, make, scheme: str | None) -> None:
+    @query(name)
+    def run(spark, sf_dir):
+        from panelmill.operators import models as L
+
+        parts = _parts(spark, sf_dir)
+        shared = L.prepared(parts["train"])
+        model = L.fit(parts["train"], make(L, shared[1]), scheme=scheme, shared=shared)
+        return L.evaluate(model, parts["validation"], name, "validation")
+
+
+def _make_logistic(L, vectors):
+    return L.logistic(L.class_weights(vectors).first()["total_weight"], FIT_SIZES["logistic"])
+
+
+_fit_query("logistic_fit", _make_logistic, "balanced")
+_fit_query("forest_fit", lambda L, _: L.forest(FIT_SIZES["forest"]), "balanced")
+_fit_query("gbt_fit", lambda L, _: L.boosting(FIT_SIZES["boosting"]), "retained")
+_fit_query("mlp_fit", lambda L, _: L.perceptron(max_iter=FIT_SIZES["perceptron"]), None)
+
+
+@query("class_weights")
+def class_weights(spark, sf_dir):
+    from panelmill.operators.models import class_weights
+
+    rows = panel(spark, sf_dir)
+    out = None
+    for scheme in ("balanced", "retained", "scaled"):
+        one = class_weights(rows, scheme).select(F.lit(scheme).alias("scheme"), "*")
+        out = one if out is None else out.unionByName(one)
+    return rounded(out, 6, "negative_weight", "positive_weight", "total_weight")
+
+
+@query("grid_search")
+def grid_search(spark, sf_dir):
+    """The grid with fewer trees per point."""
+    from panelmill.operators.models import BOOSTING_GRID
+    from panelmill.operators.models import grid_search as search
+
+    parts = _parts(spark, sf_dir)
+    table, _ = search(parts["train"], parts["validation"], {**BOOSTING_GRID, "trees": (5, 10)})
+    return table
+
+
+@query("training_workflow")
+def training_workflow(spark, sf_dir):
+    """Candidates, champion, threshold, one test; the run is stored and its metrics returned."""
+    from panelmill.plans.training import store, train
+
+    run = train(_stored_dataset(spark, sf_dir), sizes=FIT_SIZES)
+    store(run, scratch_path(spark, "run"))
+    return run.test_metrics
+
+
+def _fitted(spark, sf_dir, kind: str):
+    from panelmill.operators import models as L
+
+    parts = _parts(spark, sf_dir)
+    shared = L.prepared(parts["train"])
+    make = {
+        "logistic": lambda: _make_logistic(L, shared[1]),
+        "boosting": lambda: L.boosting(FIT_SIZES["boosting"]),
+        "forest": lambda: L.forest(FIT_SIZES["forest"]),
+    }[kind]
+    return L.fit(parts["train"], make(), shared=shared), parts["test"]
+
+
+@query("batch_scoring")
+def batch_scoring(spark, sf_dir):
+    """Test period scored by a fitted model: probability, decision, band."""
+    model, test = _fitted(spark, sf_dir, "logistic")
+    scored = S.score(test, model)
+    return shown(scored, CUSTOMER, SNAPSHOT, S.PROBABILITY, "churn_prediction", "risk_band", "threshold")
+
+
+@query("high_risk_sample")
+def high_risk_sample(spark, sf_dir):
+    """Hundred highest probabilities of a seeded sample of the test period."""
+    model, test = _fitted(spark, sf_dir, "boosting")
+    sample = S.seeded_sample(test, [CUSTOMER, SNAPSHOT])
+    return shown(S.top_risk(S.score(sample, model), ties=[SNAPSHOT, CUSTOMER]))
+
+
+@query("forest_importance")
+def forest_importance(spark, sf_dir):
+    from panelmill.operators.explain import model_importance, top_features
+
+    model, _ = _fitted(spark, sf_dir, "forest")
+    return top_features(model_importance(spark, model), 20)
+
+
+@query("linear_attribution")
+def linear_attribution(spark, sf_dir):
+    from panelmill.operators.explain import linear_attribution, mean_absolute
+
+    model, test = _fitted(spark, sf_dir, "logistic")
+    return mean_absolute(linear_attribution(test, model))
+
+
+@query("tree_attribution")
+def tree_attribution(spark, sf_dir):
+    from panelmill.operators.explain import mean_absolute, tree_attribution
+
+    model, test = _fitted(spark, sf_dir, "boosting")
+    return mean_absolute(tree_attribution(test, model))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from panelmill.catalog.queries import GOLD_COLUMNS
+from panelmill.catalog.queries import GOLD_COLUMNS, LINE_MEASURES
 from panelmill.catalog.sql_base import (
     BASE,
     BASE_LABEL_V2,
@@ -473,7 +473,14 @@ SQL: dict[str, str] = {
         GOLD_V3, "gold", [*CORE_FEATURES, "churn_90d"],
         NULLS + ", count(*) filter ({c} = 0) as zero_count",
     ),
-    "numeric_summary": summary_sql("", "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]),
+    "numeric_summary": summary_sql("", "lineitem", LINE_MEASURES, quartiles=False),
+    "quartile_ranks": " union all ".join(
+        f"select '{c}' as column_name, " + ", ".join(
+            f"round(avg(({c} <= (select quantile_disc({c}, {q}) from lineitem))::int), 3) as {n}"
+            for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
+        ) + " from lineitem"
+        for c in LINE_MEASURES
+    ),
     "distinct_rows": """select count(*) as rows, (select count(*) from (select distinct l_orderkey, l_linenumber
         from lineitem)) as distinct_rows from lineitem""",
     "completed_orders": f"""{BASE} select order_id, customer_unique_id, {stamp("order_purchase_timestamp")}
@@ -596,6 +603,13 @@ SQL: dict[str, str] = {
     "top100_risk": f"""{DECIDED} select customer_unique_id, {DAY}, churn_90d, churn_probability, churn_prediction,
         risk_band from (select * from decided
                         order by churn_probability desc, observation_date, customer_unique_id limit 100)""",
+    "class_weights": f"""{GOLD_V3}, c as (select count(*) filter (churn_90d = 1)::double as p,
+          count(*) filter (churn_90d = 0)::double as n from gold),
+        w as (select 'balanced' as scheme, (p + n) / (2 * n) as wn, (p + n) / (2 * p) as wp, p, n from c
+              union all select 'retained', p / n, 1.0, p, n from c
+              union all select 'scaled', 1.0, n / p, p, n from c)
+        select scheme, round(wn, 6) as negative_weight, round(wp, 6) as positive_weight,
+               round(wn * n + wp * p, 6) as total_weight from w""",
     "row_constraints": DIRTY + " " + " union all ".join(
         f"select '{r}' as reason, count(*) as rows from dirty where {c} having count(*) > 0"
         for r, c in REASONS.items()

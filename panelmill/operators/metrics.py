@@ -13,6 +13,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelmill.sources.tables import staged
+
 SCORE_RANGES = 256
 
 
@@ -23,13 +25,17 @@ def score_cells(df: DataFrame, label: str = "label", score: str = "score") -> Da
     )
 
 
+def stored_cells(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """Cells as a stored table: scoring and collapsing run once for all metrics."""
+    return staged(score_cells(df.where(F.col(score).isNotNull()), label, score), "score-cells")
+
+
 def ranked_cells(cells: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
     """Cells with positives and negatives at the same or a higher score, and the totals.
 
-    The range edges are driver-side numbers (at most ``ranges``), so every branch
-    of the plan sees the same ranges.
+    ``cells`` should be stored, three jobs read it. The range edges are driver-side
+    numbers (at most ``ranges``), so every branch of the plan sees the same ranges.
     """
-    cells = cells.where(F.col("score").isNotNull()).persist()
     grid = [i / ranges for i in range(1, ranges)]
     inner = cells.approxQuantile("score", grid, 1 / (4 * ranges)) if ranges > 1 else []
     edges = [float("-inf"), *sorted(set(inner)), float("inf")]
@@ -74,7 +80,11 @@ def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", r
     Average precision is the step-wise sum of precision over gains in recall, not
     a trapezoid. Equal scores form one step, and share half credit in the ROC area.
     """
-    ranked = ranked_cells(score_cells(df, label, score), ranges)
+    return ranking_of_cells(stored_cells(df, label, score), ranges)
+
+
+def ranking_of_cells(cells: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
+    ranked = ranked_cells(cells, ranges)
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     neg_above = F.col("cum_neg") - F.col("neg")
     summed = ranked.agg(
@@ -112,6 +122,21 @@ def confusion_counts(df: DataFrame, threshold: float, label: str = "label", scor
     )
 
 
+def confusion_of_cells(cells: DataFrame, threshold: float) -> DataFrame:
+    """The same from cells."""
+    said, pos, neg = F.col("score") >= F.lit(threshold), F.col("pos"), F.col("neg")
+
+    def total(condition: Column, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
+
+    return cells.agg(
+        total(~said, neg).alias("tn"),
+        total(said, neg).alias("fp"),
+        total(~said, pos).alias("fn"),
+        total(said, pos).alias("tp"),
+    )
+
+
 def confusion_matrix(counts: DataFrame) -> DataFrame:
     """All four cells as rows, empty ones included."""
     cells = [(0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp")]
@@ -285,7 +310,7 @@ def capacity_metrics(
     Where the last place falls inside a group of equal scores, that group counts
     by its share: the mean over all orders of the tied rows.
     """
-    ranked = ranked_cells(score_cells(df, label, score))
+    ranked = ranked_cells(stored_cells(df, label, score))
     size = F.col("pos") + F.col("neg")
     before = F.col("cum_pos") + F.col("cum_neg") - size
 

@@ -17,10 +17,17 @@ from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.operators.metrics import confusion_counts, ranking_metrics, threshold_metrics
+from panelmill.operators.metrics import (
+    confusion_of_cells,
+    ranking_metrics,
+    ranking_of_cells,
+    stored_cells,
+    threshold_metrics,
+)
 from panelmill.operators.scoring import PROBABILITY, with_probability
 from panelmill.schema import FEATURES, TARGET
 from panelmill.session import enable_checkpoints
+from panelmill.sources.tables import staged
 
 WEIGHT = "class_weight"
 SEED = 42
@@ -121,12 +128,13 @@ def perceptron(n_features: int = len(FEATURES), max_iter: int = 150) -> Multilay
 
 
 def prepared(train: DataFrame, features: Sequence[str] = FEATURES) -> tuple[PipelineModel, DataFrame]:
-    """Preparation fitted once on the training rows, and those rows as vectors, persisted.
+    """Preparation fitted once on the training rows, and those rows as stored vectors.
 
-    All candidates share both. A lost executor costs a recomputation of its part.
+    All candidates share both. Iterative fits submit hundreds of jobs, so they start
+    from a table instead of the lineage of the panel.
     """
     fitted = Pipeline(stages=preparation(features)).fit(train)
-    return fitted, fitted.transform(train).select("features", TARGET).persist()
+    return fitted, staged(fitted.transform(train).select("features", TARGET), "training-vectors")
 
 
 def fit(
@@ -164,9 +172,9 @@ def evaluate(
     model: PipelineModel, rows: DataFrame, name: str, part: str, threshold: float = 0.5
 ) -> DataFrame:
     """One row of ranking and threshold metrics of a model on one part of the data."""
-    scored = with_probability(rows, model).select(TARGET, PROBABILITY).persist()
-    ranking = ranking_metrics(scored, TARGET, PROBABILITY)
-    decided = threshold_metrics(confusion_counts(scored, threshold, TARGET, PROBABILITY))
+    cells = stored_cells(with_probability(rows, model), TARGET, PROBABILITY)
+    ranking = ranking_of_cells(cells)
+    decided = threshold_metrics(confusion_of_cells(cells, threshold))
     return (
         ranking.crossJoin(decided)  # one row each
         .select(

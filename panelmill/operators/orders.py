@@ -153,9 +153,14 @@ def order_level(
     return out
 
 
-def item_detail(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Item rows of completed orders with owner and purchase time."""
+def item_detail(items: DataFrame, orders: DataFrame, categories: DataFrame) -> DataFrame:
+    """Item rows of completed orders with owner, purchase time and category.
+
+    The inner join comes first: it drops the items of all other orders before the
+    lookup moves the rest.
+    """
     owner = orders.select("order_id", CUSTOMER, PURCHASE_TIME)
-    return items.join(owner, "order_id").select(
+    owned = items.select("order_id", "product_id", "seller_id").join(owner, "order_id")
+    return owned.join(categories, "product_id", "left").select(
         "order_id", CUSTOMER, PURCHASE_TIME, "product_id", "seller_id", "category_name"
     )

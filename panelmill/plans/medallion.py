@@ -13,9 +13,11 @@ from panelmill.operators.dataset import (
     assert_not_empty,
     model_dataset,
 )
+from panelmill.operators.orders import completed_orders
 from panelmill.operators.profile import table_profile
 from panelmill.plans.gold import GOLD_PARTITIONS, gold
 from panelmill.schema import ENTITIES, SNAPSHOT, SPLIT
+from panelmill.session import scratch_path
 from panelmill.sources.tables import read_entity_csv, write_parquet, write_verified
 
 
@@ -57,8 +59,17 @@ def stored_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def build_gold(spark: SparkSession, silver: str, path: str, generation: str = "v3") -> DataFrame:
-    """Feature table of one generation, written in its partitions and read back."""
-    write_parquet(gold(stored_tables(spark, silver), generation), path, GOLD_PARTITIONS[generation])
+    """Feature table of one generation, written in its partitions and read back.
+
+    The completed orders go to a table in the shared folder first, as three
+    branches of the plan start from them.
+    """
+    tables = stored_tables(spark, silver)
+    staged = write_parquet(
+        completed_orders(tables["orders"], tables["customers"]), scratch_path(spark, "completed-orders")
+    )
+    table = gold(tables, generation, completed=spark.read.parquet(staged))
+    write_parquet(table, path, GOLD_PARTITIONS[generation])
     return assert_not_empty(spark.read.parquet(path), f"gold {generation}")
 
 

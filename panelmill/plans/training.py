@@ -14,7 +14,7 @@ from panelmill.operators.dataset import assert_no_leakage
 from panelmill.operators.models import candidates, champion, compare, evaluate
 from panelmill.operators.scoring import PROBABILITY, with_probability
 from panelmill.schema import CUSTOMER, FEATURES, SNAPSHOT, SPLIT, TARGET
-from panelmill.sources.tables import write_csv, write_json_record, write_parquet
+from panelmill.sources.tables import staged, write_csv, write_json_record, write_parquet
 
 
 @dataclass
@@ -42,7 +42,8 @@ def train(
 
     The champion has the highest average precision on the validation period, its
     threshold the highest F1 there; the test period is looked at once, after both.
-    Only metric rows reach the driver.
+    Only metric rows reach the driver. ``dataset`` should be a stored table, as
+    ``build_model_dataset`` returns it.
     """
     assert_no_leakage(dataset, features)
     rows = dataset.select(CUSTOMER, SNAPSHOT, *features, TARGET, SPLIT)
@@ -57,10 +58,11 @@ def train(
     thresholds = M.threshold_sweep(scored, sweep, TARGET, PROBABILITY)
     threshold = M.best_threshold(thresholds).first()["threshold"]
 
-    predictions = (
+    predictions = staged(
         with_probability(part["test"], model)
         .select(CUSTOMER, SNAPSHOT, TARGET, PROBABILITY)
-        .withColumn("churn_prediction", (F.col(PROBABILITY) >= F.lit(threshold)).cast("int"))
+        .withColumn("churn_prediction", (F.col(PROBABILITY) >= F.lit(threshold)).cast("int")),
+        "test-predictions",
     )
     counts = M.confusion_counts(predictions, threshold, TARGET, PROBABILITY)
     return TrainingRun(

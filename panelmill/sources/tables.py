@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from panelmill.functions.columns import standardize_columns
 from panelmill.operators.cleaning import require_columns
 from panelmill.schema import ENTITIES, FEATURES
+from panelmill.session import scratch_path
 
 CORRUPT = "_malformed"
 
@@ -78,6 +79,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     return path
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder.
+
+    For results that several jobs start from: it cuts the lineage, is computed
+    once, and survives the loss of executors, which a cache does not.
+    """
+    return df.sparkSession.read.parquet(write_parquet(df, scratch_path(df.sparkSession, name)))
+
+
 def read_back(spark: SparkSession, path: str, name: str, columns: int, rows: int) -> DataFrame:
     """Row and column counts as stored against those expected, one row."""
     stored = spark.read.parquet(path)
