@@ -38,8 +38,11 @@ def ranked_cells(cells: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
     """
     grid = [i / ranges for i in range(1, ranges)]
     inner = cells.approxQuantile("score", grid, 1 / (4 * ranges)) if ranges > 1 else []
-    edges = [float("-inf"), *sorted(set(inner)), float("inf")]
-    ranged = Bucketizer(splits=edges, inputCol="score", outputCol="_range").transform(cells)
+    if inner:
+        edges = [float("-inf"), *sorted(set(inner)), float("inf")]
+        ranged = Bucketizer(splits=edges, inputCol="score", outputCol="_range").transform(cells)
+    else:
+        ranged = cells.withColumn("_range", F.lit(0.0))
 
     # at most one row per range
     totals = ranged.groupBy("_range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))

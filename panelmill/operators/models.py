@@ -6,7 +6,7 @@ import itertools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
     LogisticRegression,
@@ -26,7 +26,7 @@ from panelmill.operators.metrics import (
 )
 from panelmill.operators.scoring import PROBABILITY, with_probability
 from panelmill.schema import FEATURES, TARGET
-from panelmill.session import enable_checkpoints
+from panelmill.session import enable_checkpoints, scratch_path
 from panelmill.sources.tables import staged
 
 WEIGHT = "class_weight"
@@ -137,6 +137,16 @@ def prepared(train: DataFrame, features: Sequence[str] = FEATURES) -> tuple[Pipe
     return fitted, staged(fitted.transform(train).select("features", TARGET), "training-vectors")
 
 
+def _without_summary(model: Model, spark: SparkSession) -> Model:
+    """The model as saved. The training summary holds a session and the training
+    frame, and would be shipped, or fail to be, with every scoring task."""
+    if not getattr(model, "hasSummary", False):
+        return model
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return type(model).load(path)
+
+
 def fit(
     train: DataFrame,
     estimator: Estimator,
@@ -148,7 +158,8 @@ def fit(
     enable_checkpoints(train.sparkSession)
     preparation_model, vectors = shared or prepared(train, features)
     rows = weighted(vectors, scheme) if scheme else vectors
-    return PipelineModel(stages=[*preparation_model.stages, estimator.fit(rows)])
+    model = _without_summary(estimator.fit(rows), train.sparkSession)
+    return PipelineModel(stages=[*preparation_model.stages, model])
 
 
 def candidates(train: DataFrame, features: Sequence[str] = FEATURES, sizes: Mapping[str, int] | None = None) -> dict[str, PipelineModel]:

@@ -1,0 +1,200 @@
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from panelmill.operators import explain as X
+from panelmill.operators import models as L
+from panelmill.operators import scoring as S
+from panelmill.schema import FEATURE_BOUNDS, FEATURES, TARGET
+
+SAMPLE = dict(
+    zip(
+        FEATURES,
+        (2, 250.0, 270.0, 35.0, 3, 1.0, 2.0, 4.0, 2, 1.0, 0.1, 2, 2, 2, 30, 60, 125.0, 0.67, 83.33),
+    )
+)
+
+
+@pytest.fixture(scope="module")
+def train(spark):
+    rng = random.Random(42)
+    rows = []
+    for i in range(600):
+        values = {f: rng.random() * 10 for f in FEATURES}
+        values["late_delivery_rate_180d"] = rng.random()
+        p = 1 / (1 + math.exp(-(values["recency_days"] - values["order_count_180d"])))
+        rows.append((f"c{i}", dt.date(2018, 1, 31), *[values[f] for f in FEATURES], int(rng.random() < p)))
+    schema = "customer_unique_id string, observation_date date, " + ", ".join(f"{f} double" for f in FEATURES)
+    return spark.createDataFrame(rows, f"{schema}, {TARGET} int").repartition(2).persist()
+
+
+@pytest.fixture(scope="module")
+def shared(train):
+    return L.prepared(train)
+
+
+@pytest.fixture(scope="module")
+def logistic(train, shared):
+    total = L.class_weights(shared[1]).first()["total_weight"]
+    return L.fit(train, L.logistic(total), shared=shared)
+
+
+@pytest.fixture(scope="module")
+def boosted(train, shared):
+    return L.fit(train, L.boosting(6), scheme="retained", shared=shared)
+
+
+@pytest.mark.parametrize(
+    "p,expected",
+    [(0.10, "Low"), (0.39, "Low"), (0.40, "Medium"), (0.50, "Medium"), (0.69, "Medium"), (0.70, "High"), (0.80, "High")],
+)
+def test_risk_bands(spark, p, expected):
+    assert spark.range(1).select(S.risk_band(F.lit(p))).first()[0] == expected
+
+
+def test_decision_uses_the_exact_probability(spark):
+    df = spark.createDataFrame([(0.1999999999,), (0.2,), (0.6999999,)], "churn_probability double")
+    rows = S.decide(df).orderBy("churn_probability").collect()
+    assert [r["churn_prediction"] for r in rows] == [0, 1, 1]
+    assert rows[0]["churn_probability"] == 0.2 and rows[2]["risk_band"] == "Medium"
+    assert {r["threshold"] for r in rows} == {0.20}
+
+
+def test_scores_have_the_expected_form(spark, logistic):
+    row = S.score(spark.createDataFrame([SAMPLE]), logistic).first()
+    assert 0.0 <= row["churn_probability"] <= 1.0
+    assert row["churn_prediction"] == int(row["churn_probability"] >= row["threshold"])
+    assert row["risk_band"] in ("Low", "Medium", "High")
+
+
+def test_missing_feature_is_refused(spark, logistic):
+    short = {k: v for k, v in SAMPLE.items() if k != "order_count_180d"}
+    with pytest.raises(ValueError, match="order_count_180d"):
+        S.score(spark.createDataFrame([short]), logistic)
+
+
+def test_column_order_of_the_input_does_not_matter(spark, logistic):
+    a = S.score(spark.createDataFrame([SAMPLE]), logistic).first()
+    flipped = spark.createDataFrame([SAMPLE]).select(*reversed(FEATURES))
+    assert S.score(flipped, logistic).first()["churn_probability"] == a["churn_probability"]
+
+
+def test_row_constraints(spark):
+    text = {k: str(v) for k, v in SAMPLE.items()}
+    rows = [
+        {**text, "id": "good"},
+        {**text, "id": "delay", "avg_delivery_delay_180d": "-12"},
+        {**text, "id": "word", "order_count_180d": "invalid"},
+        {**text, "id": "none", "revenue_180d": None},
+        {**text, "id": "low", "recency_days": "-1"},
+        {**text, "id": "rate", "late_delivery_rate_180d": "1.01"},
+        {**text, "id": "nan", "item_count_180d": "NaN"},
+    ]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ("id", *FEATURES)))
+    assert {r["id"] for r in S.valid_rows(df).collect()} == {"good", "delay"}
+    reasons = {r["id"]: r["reject_reasons"] for r in S.rejected_rows(df).collect()}
+    assert reasons == {
+        "word": ["order_count_180d: not a number"],
+        "none": ["revenue_180d: missing"],
+        "low": ["recency_days: below 0"],
+        "rate": ["late_delivery_rate_180d: above 1"],
+        "nan": ["item_count_180d: below 0"],
+    }
+    assert sum(low is None for low, _ in FEATURE_BOUNDS.values()) == 1
+
+
+def test_summary_keeps_empty_bands(spark):
+    df = spark.createDataFrame([(0.9, None), (0.95, 1)], "churn_probability double, recency_days int")
+    scored = S.decide(df)
+    assert {r[0]: r[1] for r in S.band_histogram(scored).collect()} == {"High": 2, "Medium": 0, "Low": 0}
+    row = S.batch_summary(scored)
+    assert row.first().asDict() == {
+        "total": 2, "predicted_churn": 2, "high_risk": 2, "medium_risk": 0, "low_risk": 0, "rows_with_missing": 1,
+    }
+
+
+def test_seeded_sample_is_stable(train):
+    a = S.seeded_sample(train, ["customer_unique_id"], 50).select("customer_unique_id").collect()
+    b = S.seeded_sample(train.repartition(3), ["customer_unique_id"], 50).select("customer_unique_id").collect()
+    assert sorted(a) == sorted(b) and len(a) == 50
+    assert S.seeded_sample(train, ["customer_unique_id"], 5000).count() == 600
+
+
+def test_class_weights(train):
+    counts = {r[TARGET]: r["count"] for r in train.groupBy(TARGET).count().collect()}
+    n, p = counts[0], counts[1]
+    balanced = L.class_weights(train).first()
+    assert balanced["negative_weight"] == pytest.approx(600 / (2 * n))
+    assert balanced["total_weight"] == pytest.approx(600)
+    assert L.class_weights(train, "retained").first()["negative_weight"] == pytest.approx(p / n)
+    assert L.class_weights(train, "scaled").first()["positive_weight"] == pytest.approx(n / p)
+
+
+def test_linear_attribution_adds_up_to_the_margin(train, logistic):
+    names = list(FEATURES)
+    rows = X.linear_attribution(train, logistic, keep=["customer_unique_id"])
+    total = rows.select(
+        "customer_unique_id", (sum((F.col(f) for f in names), F.col("base_value"))).alias("t")
+    )
+    margin = logistic.transform(train).select(
+        "customer_unique_id", vector_to_array("rawPrediction")[1].alias("m")
+    )
+    assert total.join(margin, "customer_unique_id").where("abs(t - m) > 1e-9").count() == 0
+
+
+@pytest.mark.parametrize("kind", ["boosted", "forest"])
+def test_tree_attribution_adds_up_to_the_output(train, shared, boosted, kind):
+    model = boosted if kind == "boosted" else L.fit(train, L.forest(5, 4), shared=shared)
+    rows = X.tree_attribution(train, model, keep=["customer_unique_id"])
+    total = rows.select("customer_unique_id", (sum((F.col(f) for f in FEATURES), F.col("base_value"))).alias("t"))
+    out = vector_to_array("rawPrediction")[1] * 2 if kind == "boosted" else vector_to_array("probability")[1]
+    expected = model.transform(train).select("customer_unique_id", out.alias("m"))
+    both = total.join(expected, "customer_unique_id")
+    assert both.count() == 600
+    assert both.where("abs(t - m) > 1e-6").count() == 0
+
+
+def test_leaf_attribution_matches_the_definition():
+    leaves = [
+        X.Leaf(2.0, (0, 1), (-math.inf, 1.0), (0.5, math.inf), (0.25, 0.4)),
+        X.Leaf(-1.0, (0, 1, 2), (0.5, -math.inf, 0.0), (math.inf, 1.0, 2.0), (0.75, 0.6, 0.3)),
+        X.Leaf(0.7, (), (), (), ()),
+    ]
+    x = np.array([[0.2, 1.5, 1.0], [0.9, 0.3, 3.0], [0.6, 0.9, 1.0]])
+
+    def value(row, known):
+        total = 0.0
+        for leaf in leaves:
+            v = leaf.value
+            for f, lo, hi, share in zip(leaf.feature, leaf.low, leaf.high, leaf.share):
+                v *= float(lo < row[f] <= hi) if f in known else share
+            total += v
+        return total
+
+    got = X.leaf_attribution(x, leaves)
+    for i, row in enumerate(x):
+        for j in range(3):
+            others = [k for k in range(3) if k != j]
+            phi = sum(
+                math.factorial(len(s)) * math.factorial(2 - len(s)) / 6 * (value(row, {*s, j}) - value(row, set(s)))
+                for n in range(3)
+                for s in itertools.combinations(others, n)
+            )
+            assert got[i, j] == pytest.approx(phi)
+
+
+def test_importance_tables(spark, boosted):
+    table = X.model_importance(spark, boosted)
+    assert table.agg(F.sum("importance_pct")).first()[0] == pytest.approx(100, abs=1e-3)
+    assert X.top_features(table, 5).count() == 5
+    attribution = spark.createDataFrame([(1.0, -3.0), (-1.0, 3.0)], "a double, b double")
+    top = X.headline(X.mean_absolute(attribution, ["a", "b"])).first()
+    assert tuple(top) == (2, "b", 3.0, 75.0)
