@@ -26,9 +26,8 @@ e_items as (
            cast(l_partkey as varchar) as product_id, cast(l_suppkey as varchar) as seller_id,
            l_shipdate as shipping_limit_date, l_extendedprice as price, l_extendedprice * l_tax as freight_value,
            row_number() over (partition by l_orderkey, l_linenumber
-             order by cast(l_partkey as varchar) nulls first, cast(l_suppkey as varchar) nulls first,
-                      l_shipdate nulls first, l_extendedprice nulls first,
-                      l_extendedprice * l_tax nulls first) as rn
+             order by l_partkey nulls first, l_suppkey nulls first, l_shipdate nulls first,
+                      l_extendedprice nulls first, l_tax nulls first) as rn
     from lineitem) where rn = 1),
 e_payments as (
   select cast(k as varchar) as order_id, n as payment_sequential,

@@ -24,15 +24,13 @@ def reject_reasons(
     checks: list[Column] = []
     for name, (low, high) in bounds.items():
         value = safe_cast(name, "double")
-        missing = F.col(name).isNull()
-        checks += [
-            F.when(missing, f"{name}: missing"),
-            F.when(~missing & value.isNull(), f"{name}: not a number"),
-        ]
+        check = F.when(F.col(name).isNull(), f"{name}: missing").when(value.isNull(), f"{name}: not a number")
         if low is not None:
-            checks.append(F.when((value < low) | F.isnan(value), f"{name}: below {low:g}"))
+            # NaN compares as the largest number here, but satisfies no bound
+            check = check.when((value < low) | F.isnan(value), f"{name}: below {low:g}")
         if high is not None:
-            checks.append(F.when((value > high) & ~F.isnan(value), f"{name}: above {high:g}"))
+            check = check.when(value > high, f"{name}: above {high:g}")
+        checks.append(check)
     return df.withColumn("reject_reasons", F.array_compact(F.array(*checks)))
 
 
