@@ -400,8 +400,8 @@ K = "cast(customer_unique_id as bigint)"
 DIRTY = f"""{GOLD_V3}, dirty as (select {K} as k, * from gold)"""
 REASONS = {
     "revenue_180d: not a number": "k % 7 = 0",
-    "late_delivery_rate_180d: above 1": "k % 11 = 0",
-    "recency_days: below 0": "k % 13 = 0",
+    "late_delivery_rate_180d: too high": "k % 11 = 0",
+    "recency_days: too low": "k % 13 = 0",
     "item_count_180d: missing": "k % 17 = 0",
 }
 
@@ -440,9 +440,6 @@ SQL: dict[str, str] = {
         count(*) filter (churn_prediction = 1) as predicted_churn, count(*) filter (risk_band = 'High') as high_risk,
         count(*) filter (risk_band = 'Medium') as medium_risk, count(*) filter (risk_band = 'Low') as low_risk,
         cast(0 as bigint) as rows_with_missing from decided""",
-    "schema_rows": """select cast(ordinal_position - 1 as integer) as position, column_name
-        from (values (1, 'o_orderkey'), (2, 'o_custkey'), (3, 'o_orderstatus'), (4, 'o_totalprice'),
-                     (5, 'o_orderdate'), (6, 'o_orderpriority')) as t(ordinal_position, column_name)""",
     "raw_profile": per_column(
         "with " + PURCHASES.strip() + ", raw as (select case when k % 101 <> 0 then k end as order_id,"
         " o_custkey as customer_id, status as order_status, ts as order_purchase_timestamp,"

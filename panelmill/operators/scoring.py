@@ -21,17 +21,33 @@ def reject_reasons(
 ) -> DataFrame:
     """Add ``reject_reasons``: one entry per broken constraint, empty for a valid row."""
     require_columns(df, list(bounds), "features")
-    checks: list[Column] = []
-    for name, (low, high) in bounds.items():
-        value = safe_cast(name, "double")
-        check = F.when(F.col(name).isNull(), f"{name}: missing").when(value.isNull(), f"{name}: not a number")
-        if low is not None:
-            # NaN compares as the largest number here, but satisfies no bound
-            check = check.when((value < low) | F.isnan(value), f"{name}: below {low:g}")
-        if high is not None:
-            check = check.when(value > high, f"{name}: above {high:g}")
-        checks.append(check)
-    return df.withColumn("reject_reasons", F.array_compact(F.array(*checks)))
+    number = F.lit(None).cast("double")
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("name"),
+                F.col(name).isNull().alias("missing"),
+                safe_cast(name, "double").alias("value"),
+                (number if low is None else F.lit(low)).alias("low"),
+                (number if high is None else F.lit(high)).alias("high"),
+            )
+            for name, (low, high) in bounds.items()
+        ]
+    )
+
+    def reason(e: Column) -> Column:
+        # NaN compares as the largest number here, but satisfies no bound
+        unordered = F.isnan(e["value"]) & (e["low"].isNotNull() | e["high"].isNotNull())
+        return (
+            F.when(e["missing"], F.concat(e["name"], F.lit(": missing")))
+            .when(e["value"].isNull(), F.concat(e["name"], F.lit(": not a number")))
+            .when(unordered | (e["value"] < e["low"]), F.concat(e["name"], F.lit(": too low")))
+            .when(e["value"] > e["high"], F.concat(e["name"], F.lit(": too high")))
+        )
+
+    # one rule over an array of columns keeps the plan small; written out per column it is
+    # copied into every filter and takes seconds to optimise
+    return df.withColumn("reject_reasons", F.filter(F.transform(entries, reason), lambda r: r.isNotNull()))
 
 
 def valid_rows(df: DataFrame, bounds=FEATURE_BOUNDS) -> DataFrame:

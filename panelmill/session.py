@@ -18,6 +18,9 @@ SESSION_SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# temporary folders of local-mode applications that name no shared one
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def build_session(app_name: str = "panelmill", master: str | None = None, **extra: str) -> SparkSession:
     """Create or fetch a session; cluster sizing stays with spark-submit."""
@@ -50,9 +53,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="panelmill-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="panelmill-")
+    return _LOCAL_FOLDERS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -104,9 +104,9 @@ def test_row_constraints(spark):
     assert reasons == {
         "word": ["order_count_180d: not a number"],
         "none": ["revenue_180d: missing"],
-        "low": ["recency_days: below 0"],
-        "rate": ["late_delivery_rate_180d: above 1"],
-        "nan": ["item_count_180d: below 0"],
+        "low": ["recency_days: too low"],
+        "rate": ["late_delivery_rate_180d: too high"],
+        "nan": ["item_count_180d: too low"],
     }
     assert sum(low is None for low, _ in FEATURE_BOUNDS.values()) == 1
 
