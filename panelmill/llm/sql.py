@@ -1,0 +1,84 @@
+"""DuckDB SQL for the named queries of this package that SQL can express."""
+
+SQL: dict[str, str] = {}
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_SPACES = r"[\x20\x09-\x0D]"
+_WORD = r"[^\x20\x09-\x0D]+"
+
+SQL["op5_benchmark_decontamination"] = rf"""
+with split as (
+    select 'd' as kind, doc_id as id,
+           regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from documents
+    union all
+    select 'b', item_id,
+           regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+    from benchmark
+), windows as (
+    select distinct id as item_id, n, array_to_string(w[i : i + n - 1], ' ') as words
+    from (select id, w, least(10, len(w)) as n, unnest(range(1, len(w) - least(10, len(w)) + 2)) as i
+          from split where kind = 'b' and len(w) > 0)
+), lengths as (select distinct n from windows),
+starts as (
+    select id, n, array_to_string(w[i : i + n - 1], ' ') as words, i
+    from (select id, w, n, unnest(range(1, len(w) - n + 2)) as i
+          from split, lengths where kind = 'd' and len(w) >= n)
+), found as (select s.id, s.i, s.n, b.item_id from starts s join windows b using (n, words)),
+hit as (
+    select id, count(distinct pos) as n_hit
+    from (select id, unnest(range(i, i + n)) as pos from found) group by id
+), items as (
+    select id, count(*) as n_items, string_agg(item, ',' order by item) as list
+    from (select distinct id, item_id::varchar as item from found) group by id
+)
+select d.id as doc_id, len(d.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from split d left join hit using (id) left join items using (id)
+where d.kind = 'd'
+"""
+
+SQL["op7_quality_rules"] = rf"""
+with split as (
+    select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{_WORD}') as w from documents
+), lines as (
+    select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+    from (select doc_id, unnest(string_split(t, chr(10))) as line from split)
+    where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+), grams as (
+    select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as n
+    from (select doc_id, w, unnest(range(1, len(w) - 1)) as i from split)
+), repeats as (
+    select doc_id, count(distinct pos) as n_repeat_words
+    from (select doc_id, unnest(range(i, i + 3)) as pos from grams where n > 1) group by doc_id
+), counts as (
+    select doc_id, len(w)::bigint as n_words, length(regexp_replace(t, '{_SPACES}', '', 'g'))::bigint as word_chars,
+           (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+           length(regexp_replace(t, '[^A-Z]', '', 'g')) as upper_n, length(regexp_replace(t, '[^a-z]', '', 'g')) as lower_n,
+           coalesce(n_lines, 0) as n_lines, coalesce(n_dup_lines, 0) as n_dup_lines,
+           coalesce(n_repeat_words, 0) as n_repeat_words
+    from split left join lines using (doc_id) left join repeats using (doc_id)
+), base as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and 10 * n_dup_lines <= 3 * n_lines and 10 * n_symbols <= 3 * n_words
+       and word_chars between 2 * n_words and 14 * n_words and upper_n <= lower_n as kept
+from base
+"""
+
+SQL["op10_chat_formatting"] = """
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all
+    select -1, t, r, '<|im_end|><|im_start|>assistant ok' from (values (0, 'user'), (1, 'assistant')) v(t, r)
+), written as (
+    select *, replace(replace(text, '&', '&amp;'), '<', '&lt;') as text_out,
+           replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), chr(10), '&#10;') as role_out
+    from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length('<|im_start|>' || role_out || chr(10) || text_out || '<|im_end|>' || chr(10)))::bigint as formatted_chars
+from written group by conv_id
+"""
