@@ -91,6 +91,22 @@ class WordCache(dict):
         return np.fromiter(map(self.__getitem__, words), dtype, len(words))
 
 
+class Numbered(dict):
+    """Words numbered as they are met; ``fresh`` has those that nothing is known of yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list = []
+
+    def __missing__(self, word) -> int:
+        self[word] = n = len(self)
+        self.fresh.append(word)
+        return n
+
+    def of(self, words: Sequence) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Spread the bits of unsigned 64-bit numbers (the finaliser of splitmix64)."""
     with np.errstate(over="ignore"):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelmill.llm.common import WordCache, map_texts, staged, utf8
+from panelmill.llm.common import Numbered, WordCache, map_texts, staged, utf8
 
 CAPACITY = 4096
 END_ID = 2
@@ -69,7 +69,7 @@ class Tokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self.place = _Places()
+        self.place = Numbered()
         self.ids = np.zeros(0, np.uint32)
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -89,7 +89,7 @@ class Tokenizer:
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.place) > self.most:
             self._forget()
-        places = [np.fromiter(map(self.place.__getitem__, one), np.int64, len(one)) for one in (t.lower().split() for t in texts)]
+        places = [self.place.of(t.lower().split()) for t in texts]
         self._learn()
         out = []
         for at in places:
@@ -100,19 +100,6 @@ class Tokenizer:
         return out
 
 
-class _Places(dict):
-    """Chunks numbered as they are met; ``fresh`` has those whose ids aren't known yet."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: list[bytes] = []
-
-    def __missing__(self, chunk: bytes) -> int:
-        self[chunk] = n = len(self)
-        self.fresh.append(chunk)
-        return n
-
-
 @lru_cache(maxsize=1)
 def _tokenizer(json: str) -> Tokenizer:
     """One for each Python worker, whatever number of tasks it runs."""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.llm import chat, decontaminate, packing, rules
-from panelmill.llm.common import table
+from panelmill.llm import chat, decontaminate, language, lmscore, packing, quality, rules, toxicity
+from panelmill.llm.common import held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -21,6 +21,32 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~held_out(3, 1))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out(3, 1).alias("held_out"), "lang_pred", "score")
+
+
+def _scored(found: DataFrame, threshold: float) -> DataFrame:
+    return found.select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = quality.fit(labelled_sample(spark, sf_dir, "quality", 4, 2, quality.SAMPLE_ROWS))
+    return _scored(quality.score(table(spark, sf_dir, "documents"), model), quality.THRESHOLD)
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(labelled_sample(spark, sf_dir, "toxic", 4, 2, toxicity.SAMPLE_ROWS))
+    return _scored(toxicity.score(table(spark, sf_dir, "documents"), model), toxicity.THRESHOLD)
+
+
 @query
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -44,6 +70,13 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where(F.col("quality") == 1).select("doc_id")
+    return lmscore.score(docs, *lmscore.fit(docs, good))
+
+
 @query
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")

@@ -71,10 +71,9 @@ class Text:
     def n_repeat_words(self) -> int:
         """Words inside three-word windows that the text holds at least twice."""
         windows = ngram_hashes(_hashes.array(self.words, np.uint64), 3)
-        order = np.argsort(windows)
-        same = windows[order][1:] == windows[order][:-1]
+        ordered = np.sort(windows)
         again = np.zeros(len(windows) + 2, bool)
-        starts = np.r_[order[1:][same], order[:-1][same]]
+        starts = np.flatnonzero(np.isin(windows, ordered[1:][ordered[1:] == ordered[:-1]]))
         for i in range(3):
             again[starts + i] = True
         return int(again.sum())
