@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.llm import chat, decontaminate, language, lmscore, packing, quality, rules, toxicity
+from panelmill.llm import chat, decontaminate, language, lmscore, neardup, packing, quality, rules, toxicity
 from panelmill.llm.common import held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
 @query
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")

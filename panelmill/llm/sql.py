@@ -82,3 +82,27 @@ select conv_id, count(*) as n_turns,
        sum(length('<|im_start|>' || role_out || chr(10) || text_out || '<|im_end|>' || chr(10)))::bigint as formatted_chars
 from written group by conv_id
 """
+
+SQL["op1_minhash_dedup"] = rf"""
+with recursive split as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '{_WORD}') as w from documents
+), places as (
+    select doc_id, w, least(4, len(w)) as n, unnest(range(1, len(w) - least(4, len(w)) + 2)) as i
+    from split where len(w) > 0
+), shingles as (select distinct doc_id, array_to_string(w[i : i + n - 1], ' ') as s from places),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c
+    from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+    select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * c >= 80 * (x.n + y.n - c)
+), edges as (select a, b from links union all select b, a from links),
+reach as (
+    select doc_id as a, doc_id as b from split
+    union
+    select r.a, e.b from reach r join edges e on r.b = e.a
+), least_of as (select a as doc_id, min(b) as component_id from reach group by a)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from split left join sizes using (doc_id) join least_of using (doc_id)
+"""
