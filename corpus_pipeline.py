@@ -5,21 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelmill.llm import packing
+from panelmill.llm import decontaminate, language, neardup, packing, pii
 from panelmill.llm.common import staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language; where none is given, the predicted one.
+
+    A document without letters, or on which no language is likelier than all others together, goes.
+    """
+    found = language.identify(docs, language.fit(docs, F.lit(True)))
+    kept = found.where((F.col("lang_pred") != language.UNDECIDED) & (F.col("score") >= 0.5))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group that 0.8 of their shingles of five words link."""
+    return neardup.deduplicated(docs, words=5, similarity=80)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out; a document that is nothing else goes."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), remove="spans")
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are masked by their kind."""
+    return pii.masked(docs, pii.fit(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences, with their ids."""
     return packing.pack(docs, with_ids=True)
 
 
-STAGES: list[tuple[str, Stage]] = [("packing", pack)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language", known_language),
+    ("near_duplicates", one_of_near_copies),
+    ("decontamination", without_benchmark),
+    ("personal_data", without_personal_data),
+    ("packing", packed),
+]
 
-#: No SQL: language, personal data and packing are decided by fitted models and a heuristic.
+#: No SQL: languages, personal data and windows are decided by fitted models and a heuristic.
 ORACLE_SQL: str | None = None
 
 

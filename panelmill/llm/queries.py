@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.llm import chat, decontaminate, language, lmscore, neardup, packing, quality, rules, toxicity
+from panelmill.llm import chat, decontaminate, language, lmscore, neardup, packing, pii, quality, rules, toxicity
 from panelmill.llm.common import held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,6 +65,23 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _listed(spans: str) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    each = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+    return F.array_join(each, ",")
+
+
+@query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    kinds = F.col("base_spans.kind")
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(_listed("base_spans").cast("binary"), 256).alias("base_sha256"), _listed("spans").alias("spans")
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.cascade(table(spark, sf_dir, "documents"), counts=True).drop("rejected_by")
