@@ -28,7 +28,9 @@ from panelmill.llm.common import Numbered, byte_matrix, map_texts, mix64, utf8
 SAMPLE_ROWS = 1500
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 12
 SIZES = (3, 4, 5)
-EPOCHS, BATCH, RATE, WINDOWS = 10, 128, 0.15, 6
+EPOCHS, WARM_EPOCHS, BATCH, RATE = 10, 3, 128, 0.15
+#: Windows of a text in an epoch: before any can be told apart, and then besides the top one.
+WARM_WINDOWS, WINDOWS = 20, 5
 THRESHOLD = 0.3
 _MOST_WORDS = 600_000
 _LETTER = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c in b"@$!*" else 0x20 for c in range(256))
@@ -87,17 +89,18 @@ class SubwordBag:
         counts = np.diff(np.r_[starts, len(buckets)])
         seen_v, seen_l, seen_b = np.full((BUCKETS, DIM), 1e-4), np.full((DIM, 2), 1e-4), np.full(2, 1e-4)
         for epoch in range(EPOCHS):
-            z = None if epoch < 2 else self._word_part(buckets, starts, counts)
+            z = None if epoch < WARM_EPOCHS else self._word_part(buckets, starts, counts)
             windows, labels = [], []
             for one, label in zip(ids, y, strict=True):
                 if not len(one):
                     continue
                 ends = max(1, len(one) - WINDOW + 1)
                 if z is None:
-                    chosen = rng.integers(0, ends, WINDOWS)
+                    cover = np.arange(rng.integers(0, min(WINDOW, ends)), ends, WINDOW)
+                    chosen = rng.permutation(cover)[:WARM_WINDOWS]
                 else:
                     means = window_means(one, z)
-                    chosen = np.unique(np.r_[means.argmax(), [] if label else rng.integers(0, ends, WINDOWS - 1)].astype(int))
+                    chosen = np.unique(np.r_[means.argmax(), [] if label else rng.integers(0, ends, WINDOWS)].astype(int))
                 windows += [one[i : i + WINDOW] for i in chosen]
                 labels += [label] * len(chosen)
             labels = np.array(labels, int)
