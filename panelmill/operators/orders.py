@@ -98,19 +98,26 @@ def categorised_items(items: DataFrame, products: DataFrame, translation: DataFr
 
 
 def item_rollup(items: DataFrame, distinct_counts: bool = True) -> DataFrame:
-    """Count, revenue, freight and distinct entities per order."""
-    measures = [
+    """Count, revenue, freight and distinct entities per order.
+
+    Several distinct counts in one aggregation would copy every item row once for each.
+    Here the entities of an order are narrow rows that are made distinct before the shuffle
+    and again after it; both sides are then partitioned by order.
+    """
+    measures = items.groupBy("order_id").agg(
         F.count("*").alias("item_count"),
         F.sum("price").alias("item_revenue"),
         F.sum("freight_value").alias("freight_value"),
-    ]
-    if distinct_counts:
-        measures += [
-            F.count_distinct("product_id").alias("unique_products_order"),
-            F.count_distinct("seller_id").alias("unique_sellers_order"),
-            F.count_distinct("category_name").alias("unique_categories_order"),
-        ]
-    return items.groupBy("order_id").agg(*measures)
+    )
+    if not distinct_counts:
+        return measures
+    entities = {"product_id": "unique_products_order", "seller_id": "unique_sellers_order", "category_name": "unique_categories_order"}
+    values = [F.struct(F.lit(i).alias("_kind"), F.col(c).cast("string").alias("_value")) for i, c in enumerate(entities)]
+    distinct = items.select("order_id", F.inline(F.array(*values))).distinct()
+    counts = distinct.groupBy("order_id").agg(
+        *[F.count_if((F.col("_kind") == i) & F.col("_value").isNotNull()).alias(n) for i, n in enumerate(entities.values())]
+    )
+    return measures.join(counts, "order_id", "left")
 
 
 def payment_rollup(payments: DataFrame) -> DataFrame:

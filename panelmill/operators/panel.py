@@ -368,12 +368,12 @@ def snapshot_features(
         grouped = grouped.where(F.col("_in_panel") == 1).drop("_in_panel")
     if spec.active_only:
         grouped = grouped.where(F.col("order_count_180d") > 0)
-    return _derive(grouped.withColumn(SNAPSHOT, month_end(F.col("_index"))).drop("_index"))
+    return _derive(grouped.withColumn(SNAPSHOT, month_end(F.col("_index"))).drop("_index"), spec)
 
 
-def _derive(df: DataFrame) -> DataFrame:
+def _derive(df: DataFrame, spec: SnapshotSpec) -> DataFrame:
     """Recency, lifetime inside the window, ratios, label and date parts."""
-    months = F.lit(6.0)
+    months = F.lit(spec.history_days / 30)
     columns = {
         "recency_days": F.datediff(F.col(SNAPSHOT), F.to_date("last_purchase_timestamp")),
         "customer_lifetime_days": F.datediff(F.col(SNAPSHOT), F.to_date("first_purchase_timestamp_180d")),
@@ -399,8 +399,10 @@ def join_to_panel(snapshots: DataFrame, orders: DataFrame, spec: SnapshotSpec =
     """Left interval join: every snapshot with the orders of its look-back window, one row each.
 
     The general form for callers who need the pairs themselves; the features above
-    never materialise them. The range predicate becomes an equality on
-    (customer, snapshot), so the join is an ordinary equi join.
+    never materialise them. A purchase spreads over the snapshots that look back on it,
+    so the pairs need no join: only snapshots that there are stay, by a semi join
+    whose many-rows side adaptive execution can split, and snapshots without a purchase
+    come in by an anti join with the distinct keys.
     """
     run = _with_runs(orders, spec, None)
     spread = (
@@ -409,4 +411,9 @@ def join_to_panel(snapshots: DataFrame, orders: DataFrame, spec: SnapshotSpec =
         .withColumn(SNAPSHOT, month_end(F.col(SNAPSHOT)))
         .drop("future_from", "history_from", "history_to")
     )
-    return snapshots.join(spread, [CUSTOMER, SNAPSHOT], "left")
+    keys = [CUSTOMER, SNAPSHOT]
+    matched = spread.join(snapshots.select(*keys), keys, "left_semi")
+    if set(snapshots.columns) - set(keys):  # whatever else a snapshot carries; the many rows stay on the left
+        matched = matched.join(snapshots, keys)
+    alone = snapshots.join(spread.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,8 +18,8 @@ from panelmill.operators.orders import completed_orders
 from panelmill.operators.profile import table_profile
 from panelmill.plans.gold import GOLD_PARTITIONS, gold
 from panelmill.schema import ENTITIES, SNAPSHOT, SPLIT
-from panelmill.session import scratch_path
-from panelmill.sources.tables import read_entity_csv, write_parquet, write_verified
+from panelmill.session import scratch_folder
+from panelmill.sources.tables import read_entity_csv, staged, write_parquet, write_verified
 
 
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
@@ -30,6 +31,12 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
+def _side_by_side(write: Callable[[str], DataFrame], entities: Iterable[str], parallelism: int = 4) -> DataFrame:
+    """Independent tables, whose writes are submitted together so that small ones fill the gaps of large ones."""
+    with ThreadPoolExecutor(parallelism) as pool:
+        return _union(list(pool.map(write, entities)))
+
+
 def validate_raw(spark: SparkSession, raw: str, entity: str, file_name: str = "{}.csv") -> DataFrame:
     """Rows, columns, types and NULL counts of a raw file."""
     return table_profile(read_entity_csv(spark, f"{raw}/{file_name.format(entity)}", entity))
@@ -39,18 +46,15 @@ def ingest(
     spark: SparkSession, raw: str, bronze: str, entities: Iterable[str] = tuple(ENTITIES), file_name: str = "{}.csv"
 ) -> DataFrame:
     """Every raw file to parquet under the entity's name; the verification of each write."""
-    return _union(
-        [
-            write_verified(read_entity_csv(spark, f"{raw}/{file_name.format(e)}", e), f"{bronze}/{e}", e)
-            for e in entities
-        ]
+    return _side_by_side(
+        lambda e: write_verified(read_entity_csv(spark, f"{raw}/{file_name.format(e)}", e), f"{bronze}/{e}", e), entities
     )
 
 
 def refine(spark: SparkSession, bronze: str, silver: str, entities: Iterable[str] = tuple(ENTITIES)) -> DataFrame:
     """Bronze tables through their recipes; the verification of each write."""
-    return _union(
-        [write_verified(clean(spark.read.parquet(f"{bronze}/{e}"), e), f"{silver}/{e}", e) for e in entities]
+    return _side_by_side(
+        lambda e: write_verified(clean(spark.read.parquet(f"{bronze}/{e}"), e), f"{silver}/{e}", e), entities
     )
 
 
@@ -62,14 +66,12 @@ def build_gold(spark: SparkSession, silver: str, path: str, generation: str = "v
     """Feature table of one generation, written in its partitions and read back.
 
     The completed orders go to a table in the shared folder first, as three
-    branches of the plan start from them.
+    branches of the plan start from them; it is removed after the write.
     """
     tables = stored_tables(spark, silver)
-    staged = write_parquet(
-        completed_orders(tables["orders"], tables["customers"]), scratch_path(spark, "completed-orders")
-    )
-    table = gold(tables, generation, completed=spark.read.parquet(staged))
-    write_parquet(table, path, GOLD_PARTITIONS[generation])
+    with scratch_folder(spark):
+        completed = staged(completed_orders(tables["orders"], tables["customers"]), "completed-orders")
+        write_parquet(gold(tables, generation, completed=completed), path, GOLD_PARTITIONS[generation])
     return assert_not_empty(spark.read.parquet(path), f"gold {generation}")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -15,18 +17,24 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-# temporary folders of local-mode applications that name no shared one
-_LOCAL_FOLDERS: dict[str, str] = {}
+# folders of this process by application: the last one is where new paths go
+_FOLDERS: dict[str, list[str]] = {}
 
 
-def build_session(app_name: str = "panelmill", master: str | None = None, **extra: str) -> SparkSession:
-    """Create or fetch a session; cluster sizing stays with spark-submit."""
+def build_session(
+    app_name: str = "panelmill", master: str | None = None, shared: str | None = None, **extra: str
+) -> SparkSession:
+    """Create or fetch a session; cluster sizing stays with spark-submit.
+
+    ``shared`` is the folder all executors reach, for ``spark.checkpoint.dir``.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     for key, value in {**SESSION_SETTINGS, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -42,9 +50,8 @@ def apply_sql_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting gets a temporary folder; on a
-    cluster a missing setting is an error, since a machine-local folder would
-    vanish with its executor.
+    In local mode the warehouse folder takes its place where it is unset. On a cluster a
+    missing setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
@@ -53,18 +60,48 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it is."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+
+
+def _folders(spark: SparkSession) -> list[str]:
     application = spark.sparkContext.applicationId
-    if application not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="panelmill-")
-    return _LOCAL_FOLDERS[application]
+    if application not in _FOLDERS:
+        root = f"{shared_dir(spark)}/run-{application}-{uuid.uuid4().hex[:8]}"
+        _FOLDERS[application] = [root]
+        atexit.register(_remove, spark, root)
+    return _FOLDERS[application]
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A folder for what is staged inside the block; it is removed at the end.
+
+    Results that still read staged tables have to be written before. Outside of any such block
+    staged tables go to the folder of the application, which is removed when the process ends.
+    """
+    folders = _folders(spark)
+    path = f"{folders[-1]}/{uuid.uuid4().hex[:12]}"
+    folders.append(path)
+    try:
+        yield path
+    finally:
+        folders.remove(path)
+        _remove(spark, path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path in the present scratch folder."""
+    return f"{_folders(spark)[-1]}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
     """Point the context at the shared folder before iterative fits."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
+        spark.sparkContext.setCheckpointDir(f"{_folders(spark)[0]}/checkpoints")

@@ -63,16 +63,23 @@ def read_part(spark: SparkSession, path: str, **partition: Any) -> DataFrame:
     return df
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
+def write_parquet(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite", refresh: str = "all"
+) -> str:
     """Parquet, optionally in directories per partition value.
 
+    An overwrite replaces the whole table; with ``refresh="partitions"`` only the partitions
+    that the rows belong to. The choice goes with the write, whatever the session says.
+
     Rows are rebalanced on the partition columns first, so few files are written
     per directory; unlike a plain repartition, adaptive execution splits a value
     that holds a large share of the rows over several tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    writer = df.write.mode(mode)
+    if refresh not in ("all", "partitions"):
+        raise ValueError(f"refresh is all or partitions, not {refresh}")
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static" if refresh == "all" else "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

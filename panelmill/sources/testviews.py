@@ -19,15 +19,6 @@ STATUS = (
     "case o_orderstatus when 'F' then 'delivered' when 'O' then 'shipped' when 'P' then 'processing' end"
 )
 
-# Literal translation rows; 'promo' is absent so the fallback is used.
-TRANSLATION = (
-    ("economy", "budget"),
-    ("large", "big"),
-    ("medium", "mid size"),
-    ("small", "compact"),
-    ("standard", "regular"),
-)
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,7 +34,7 @@ def _purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").selectExpr(
         "cast(c_custkey as string) as customer_id",
-        "cast(c_custkey as string) as customer_unique_id",
+        "cast(c_custkey - c_custkey % 3 as string) as customer_unique_id",  # a person has up to three ids
         "c_nationkey * 1000 + 7 as customer_zip_code_prefix",
         "lower(c_name) as customer_city",
         "upper(c_mktsegment) as customer_state",
@@ -149,8 +140,10 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame(
-        TRANSLATION, "product_category_name string, product_category_name_english string"
+    # one kind has no translation, so the fallback is used
+    names = read_table(spark, sf_dir, "part").selectExpr("lower(p_type) as product_category_name").distinct()
+    return names.where("product_category_name <> 'promo'").selectExpr(
+        "product_category_name", "concat('english ', product_category_name) as product_category_name_english"
     )
 
 
