@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rank error of a quartile is rows / accuracy, so up to this many rows it is exact.
-QUARTILE_ACCURACY = 100_000
-
+from panelmill.sources.tables import staged
 
 def _long(row: DataFrame, columns: Sequence[str], stats: Sequence[str]) -> DataFrame:
     """Turn one row of ``column__stat`` values into one row per column."""
@@ -51,19 +49,54 @@ def numeric_summary(df: DataFrame, columns: Sequence[str], quartiles: bool = Tru
         "mean": F.avg,
         "stddev": F.stddev_samp,
         "min": lambda c: F.min(c.cast(d)),
+        "max": lambda c: F.max(c.cast(d)),
     }
     if not quartiles:
-        return _profile(df, columns, {**stats, "max": lambda c: F.max(c.cast(d))})
-    stats["quartiles"] = lambda c: F.percentile_approx(c.cast(d), [0.25, 0.5, 0.75], QUARTILE_ACCURACY)
-    stats["max"] = lambda c: F.max(c.cast(d))
-    return _profile(df, columns, stats).select(
-        "column_name",
-        "n",
-        "mean",
-        "stddev",
-        "min",
-        *[F.col("quartiles")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))],
-        "max",
+        return _profile(df, columns, stats)
+    df = staged(df.select(*columns), "summary")  # two passes over a few columns
+    names = {0.25: "p25", 0.5: "p50", 0.75: "p75"}
+    marks = quantiles(df, columns, tuple(names)).groupBy("column_name").agg(
+        *[F.max(F.when(F.col("share") == s, F.col("value"))).alias(n) for s, n in names.items()]
+    )
+    return (
+        _profile(df, columns, stats)
+        .join(F.broadcast(marks), "column_name", "left")  # one row per column
+        .select("column_name", "n", "mean", "stddev", "min", *names.values(), "max")
+    )
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """column_name, share, value: the smallest value that at least that share of a column's values does not exceed.
+
+    Exact at any size. Equal values combine to counts before the shuffle; the counts are stored in
+    ranges of (column, value), and only the ranges that hold a wanted rank are summed up in order.
+    """
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
+    counts = df.select(F.inline(values)).where("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    cells = staged(
+        counts.repartitionByRange("column_name", "value").withColumn("_range", F.spark_partition_id()), "value-counts"
+    )
+    # as many rows as ranges and columns
+    sums = cells.groupBy("column_name", "_range").agg(F.sum("n").alias("_n"))
+    whole = Window.partitionBy("column_name")
+    before = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sums.select(
+        "column_name", "_range", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_below"), F.sum("_n").over(whole).alias("_all")
+    )
+    rank = F.greatest(F.lit(1), F.ceil(F.col("_all") * F.col("share")))
+    wanted = (
+        ranges.withColumn("share", F.explode(F.array(*map(F.lit, shares))))
+        .withColumn("_rank", rank - F.col("_below"))
+        .where("_rank between 1 and _n")
+        .select("column_name", "_range", "share", "_rank")
+    )
+    inside = Window.partitionBy("column_name", "_range").orderBy("value")
+    found = cells.join(F.broadcast(wanted.select("column_name", "_range").distinct()), ["column_name", "_range"])
+    found = found.withColumn("_upto", F.sum("n").over(inside))
+    return (
+        found.join(F.broadcast(wanted), ["column_name", "_range"])  # a row per column and share
+        .where("_upto >= _rank and _upto - n < _rank")
+        .select("column_name", "share", "value")
     )
 
 

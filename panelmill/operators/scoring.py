@@ -16,48 +16,57 @@ from panelmill.schema import FEATURE_BOUNDS, FEATURES, RISK_BANDS, SCORE_THRESHO
 PROBABILITY = "churn_probability"
 
 
+REASONS = ("missing", "not a number", "too low", "too high")
+
+
+def _broken(name: str, low: float | None, high: float | None) -> list[Column]:
+    """One flag per reason, in their order; at most one holds. ``_v_{name}`` is the value as a number."""
+    value, missing = F.col(f"_v_{name}"), F.col(name).isNull()
+    text = ~missing & value.isNull()
+    # NaN compares as the largest number here, but satisfies no bound
+    unordered = F.isnan(value) if (low, high) != (None, None) else F.lit(False)
+    below = unordered if low is None else unordered | (value < F.lit(low))
+    above = F.lit(False) if high is None else ~unordered & (value > F.lit(high))
+    return [missing, text, F.coalesce(below, F.lit(False)), F.coalesce(above, F.lit(False))]
+
+
+def _with_numbers(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
+    require_columns(df, list(bounds), "features")
+    return df.withColumns({f"_v_{name}": safe_cast(name, "double") for name in bounds})
+
+
 def reject_reasons(
     df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]] = FEATURE_BOUNDS
 ) -> DataFrame:
     """Add ``reject_reasons``: one entry per broken constraint, empty for a valid row."""
-    require_columns(df, list(bounds), "features")
-    number = F.lit(None).cast("double")
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("name"),
-                F.col(name).isNull().alias("missing"),
-                safe_cast(name, "double").alias("value"),
-                (number if low is None else F.lit(low)).alias("low"),
-                (number if high is None else F.lit(high)).alias("high"),
-            )
-            for name, (low, high) in bounds.items()
-        ]
-    )
-
-    def reason(e: Column) -> Column:
-        # NaN compares as the largest number here, but satisfies no bound
-        unordered = F.isnan(e["value"]) & (e["low"].isNotNull() | e["high"].isNotNull())
-        return (
-            F.when(e["missing"], F.concat(e["name"], F.lit(": missing")))
-            .when(e["value"].isNull(), F.concat(e["name"], F.lit(": not a number")))
-            .when(unordered | (e["value"] < e["low"]), F.concat(e["name"], F.lit(": too low")))
-            .when(e["value"] > e["high"], F.concat(e["name"], F.lit(": too high")))
-        )
-
-    # one rule over an array of columns keeps the plan small; written out per column it is
-    # copied into every filter and takes seconds to optimise
-    return df.withColumn("reject_reasons", F.filter(F.transform(entries, reason), lambda r: r.isNotNull()))
+    entries = [
+        F.when(flag, f"{name}: {reason}")
+        for name, (low, high) in bounds.items()
+        for flag, reason in zip(_broken(name, low, high), REASONS)
+    ]
+    checked = _with_numbers(df, bounds).withColumn("reject_reasons", F.array_compact(F.array(*entries)))
+    return checked.drop(*[f"_v_{name}" for name in bounds])
+
+
+def reject_counts(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]] = FEATURE_BOUNDS) -> DataFrame:
+    """Rows per broken constraint: one aggregation, without a row for each reason."""
+    counts, rows = [], []
+    for i, (name, (low, high)) in enumerate(bounds.items()):
+        for k, (flag, reason) in enumerate(zip(_broken(name, low, high), REASONS)):
+            counts.append(F.count_if(flag).alias(f"_{i}_{k}"))
+            rows.append(F.struct(F.lit(f"{name}: {reason}").alias("reason"), F.col(f"_{i}_{k}").alias("rows")))
+    counted = _with_numbers(df, bounds).agg(*counts)
+    return counted.select(F.inline(F.array(*rows))).where("rows > 0")
 
 
 def valid_rows(df: DataFrame, bounds=FEATURE_BOUNDS) -> DataFrame:
     """Rows that keep every constraint, features as doubles."""
-    checked = reject_reasons(df, bounds)
-    return (
-        checked.where(F.size("reject_reasons") == 0)
-        .drop("reject_reasons")
-        .withColumns({name: safe_cast(name, "double") for name in bounds})
-    )
+    broken = F.lit(False)
+    for name, (low, high) in bounds.items():
+        for flag in _broken(name, low, high):
+            broken = broken | flag
+    kept = _with_numbers(df, bounds).where(~broken)
+    return kept.withColumns({name: F.col(f"_v_{name}") for name in bounds}).drop(*[f"_v_{name}" for name in bounds])
 
 
 def rejected_rows(df: DataFrame, bounds=FEATURE_BOUNDS) -> DataFrame:
@@ -134,7 +143,10 @@ def band_histogram(scored: DataFrame) -> DataFrame:
 
 
 def top_risk(scored: DataFrame, n: int = 100, probability: str = PROBABILITY, ties: Sequence[str] = ()) -> DataFrame:
-    """The n rows with the highest probability."""
+    """The n rows with the highest probability.
+
+    For the exact probability: rounded values tie where the exact ones don't, so ``decide`` comes after.
+    """
     return scored.orderBy(F.desc(probability), *ties).limit(n)
 
 
