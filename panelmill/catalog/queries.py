@@ -6,6 +6,7 @@ from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelmill.catalog.sql_base import INTS, MEANS, MONEY
 from panelmill.functions.columns import finite_double, safe_cast, standardize_columns
@@ -17,7 +18,7 @@ from panelmill.operators import profile as Q
 from panelmill.operators import scoring as S
 from panelmill.operators.cleaning import clean
 from panelmill.plans import reports as R
-from panelmill.plans.gold import ALL_BLOCKS, gold, order_facts
+from panelmill.plans.gold import ALL_BLOCKS, GOLD_PARTITIONS, gold, order_facts
 from panelmill.plans.medallion import ingest, refine
 from panelmill.schema import CUSTOMER, ENTITIES, FEATURES, SNAPSHOT, SPLIT, TARGET
 from panelmill.session import apply_sql_settings, scratch_path
@@ -64,7 +65,13 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf_dir: str, generation="v3", blocks: Collection[str] = ()) -> DataFrame:
-    return gold(typed_tables(spark, sf_dir), generation, blocks)
+    """The feature table; completed orders are stored first, as several branches start from them."""
+    return gold(typed_tables(spark, sf_dir), generation, blocks, X.staged(completed(spark, sf_dir), "completed-orders"))
+
+
+def stored_panel(spark: SparkSession, sf_dir: str, generation="v3", blocks: Collection[str] = ()) -> DataFrame:
+    """The same as a table, for what reads it more than once."""
+    return X.staged(panel(spark, sf_dir, generation, blocks), "panel")
 
 
 def completed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,17 +98,35 @@ def csv_bronze_silver(spark, sf_dir):
 
 @query("gold_partition_read")
 def gold_partition_read(spark, sf_dir):
-    """Feature table written by year, one year read back through partition pruning."""
+    """Feature table written by year: rows per year as stored, and of one year as read through partition pruning."""
     path = X.write_parquet(panel(spark, sf_dir), scratch_path(spark, "gold"), ["observation_year"])
-    return rounded(R.churn_by_month(X.read_part(spark, path, observation_year=1999)), 6, "churn_rate")
+    every = X.read_parquet(spark, path).groupBy("observation_year").agg(F.count("*").alias("rows"))
+    pruned = X.read_part(spark, path, observation_year=1999).groupBy("observation_year").agg(
+        F.count("*").alias("pruned_rows"), F.sum(TARGET).alias("pruned_lost")
+    )
+    return every.join(pruned, "observation_year", "left")
+
+
+@query("gold_month_partitions")
+def gold_month_partitions(spark, sf_dir):
+    """Feature table of the second generation in directories per year and month; rows of each."""
+    path = X.write_parquet(panel(spark, sf_dir, "v2"), scratch_path(spark, "gold-v2"), GOLD_PARTITIONS["v2"])
+    return X.read_parquet(spark, path).groupBy(*GOLD_PARTITIONS["v2"]).agg(F.count("*").alias("rows"))
+
+
+@query("dataset_date_partitions")
+def dataset_date_partitions(spark, sf_dir):
+    """Dataset in directories per snapshot date; rows and positives of each."""
+    path = X.write_parquet(dataset_v3(spark, sf_dir), scratch_path(spark, "dataset"), [SNAPSHOT])
+    stored = X.read_parquet(spark, path).withColumn(SNAPSHOT, F.col(SNAPSHOT).cast("date"))
+    return rounded(R.BY_MONTH(stored), 6, "loss_rate")
 
 
 @query("dataset_partition_read")
 def dataset_partition_read(spark, sf_dir):
     """Dataset written by split, the test part read back."""
-    data = D.model_dataset(panel(spark, sf_dir), D.SPLIT_60_20_20)
-    path = X.write_parquet(data, scratch_path(spark, "dataset"), [SPLIT])
-    return rounded(R.churn_by_month(X.read_part(spark, path, dataset_split="test")), 6, "churn_rate")
+    path = X.write_parquet(dataset_v3(spark, sf_dir), scratch_path(spark, "dataset"), [SPLIT])
+    return rounded(R.BY_MONTH(X.read_part(spark, path, dataset_split="test")), 6, "loss_rate")
 
 
 @query("scored_csv_roundtrip")
@@ -112,12 +137,47 @@ def scored_csv_roundtrip(spark, sf_dir):
     rows = S.numeric_features(X.read_scoring_batch(spark, source))
     scored = S.decide(rows.withColumn(S.PROBABILITY, _heuristic()), 0.5)
     back = X.read_csv(spark, X.write_csv(scored, scratch_path(spark, "scored")), infer=True)
-    return S.batch_summary(back)
+    return shown(back, CUSTOMER, SNAPSHOT, "order_count_180d", S.PROBABILITY, "churn_prediction", "risk_band").withColumn(
+        CUSTOMER, F.col(CUSTOMER).cast("string")
+    )
+
+
+@query("csv_malformed")
+def csv_malformed(spark, sf_dir):
+    """A CSV with short, long and mistyped lines: rows read, lines set aside, and what is left of them."""
+    k = F.col("o_orderkey")
+    line = (
+        F.when(k % 10 == 0, k.cast("string"))
+        .when(k % 10 == 1, F.concat_ws(",", k, "o_custkey", F.lit("9"), F.lit("more")))
+        .when(k % 10 == 2, F.concat(F.lit("no-number,"), F.col("o_custkey")))
+        .otherwise(F.concat_ws(",", k, "o_custkey"))
+    )
+    path = scratch_path(spark, "malformed")
+    read_table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    schema = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("customer_key", T.LongType())])
+    # without a header line: every file would have to start with one
+    rows = X.staged(X.read_csv(spark, path, schema, keep_malformed=True, header=False), "read")
+    return rows.agg(
+        F.count("*").alias("rows"),
+        F.count(X.CORRUPT).alias("malformed"),
+        F.count("order_key").alias("order_keys"),
+        F.sum(F.when(F.col(X.CORRUPT).isNull(), F.col("customer_key"))).alias("customer_sum"),
+    )
 
 
 @query("raw_profile")
 def raw_profile(spark, sf_dir):
-    return Q.table_profile(standardize_columns(raw_tables(spark, sf_dir)["orders"])).drop("data_type")
+    """Rows, columns, types and NULLs of all nine raw tables."""
+    out = None
+    for name, df in raw_tables(spark, sf_dir).items():
+        one = Q.table_profile(standardize_columns(df)).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("schema_rows")
+def schema_rows(spark, sf_dir):
+    return Q.schema_rows(clean(raw_tables(spark, sf_dir)["customers"], "customers"))
 
 
 @query("sample_rows")
@@ -187,17 +247,9 @@ def numeric_summary(spark, sf_dir):
 
 @query("quartile_ranks")
 def quartile_ranks(spark, sf_dir):
-    """Share of rows up to each quartile: the sketch bounds ranks, not values."""
-    lines = read_table(spark, sf_dir, "lineitem")
-    marks = Q.numeric_summary(lines, LINE_MEASURES).select("column_name", "p25", "p50", "p75")
-    values = lines.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in LINE_MEASURES]))
-    )
-    return (
-        values.join(F.broadcast(marks), "column_name")  # one row per column
-        .groupBy("column_name")
-        .agg(*[F.round(F.avg((F.col("v") <= F.col(p)).cast("int")), 3).alias(p) for p in ("p25", "p50", "p75")])
-    )
+    """Exact quartiles of the line measures."""
+    marks = Q.numeric_summary(read_table(spark, sf_dir, "lineitem"), LINE_MEASURES)
+    return rounded(marks.select("column_name", "p25", "p50", "p75"), 6, "p25", "p50", "p75")
 
 
 def summary(df: DataFrame) -> DataFrame:
@@ -384,12 +436,13 @@ def snapshot_date_parts(spark, sf_dir):
 
 
 def dataset_v3(spark, sf_dir, blocks: Collection[str] = ()) -> DataFrame:
-    return D.model_dataset(panel(spark, sf_dir, "v3", blocks), D.SPLIT_60_20_20)
+    """The dataset; its panel is stored first, since the split dates are those of its rows."""
+    return D.model_dataset(stored_panel(spark, sf_dir, "v3", blocks), D.SPLIT_60_20_20)
 
 
 @query("split_70_15_15")
 def split_70_15_15(spark, sf_dir):
-    rows = D.model_dataset(panel(spark, sf_dir, "v2"), D.SPLIT_70_15_15, guard_last_dates=True)
+    rows = D.model_dataset(stored_panel(spark, sf_dir, "v2"), D.SPLIT_70_15_15, guard_last_dates=True)
     return shown(rows, CUSTOMER, SNAPSHOT, TARGET, SPLIT)
 
 
@@ -428,7 +481,7 @@ def split_completeness(spark, sf_dir):
 def split_concat(spark, sf_dir):
     """Parts taken apart and put together again."""
     parts = D.split_frames(dataset_v3(spark, sf_dir))
-    return R.target_counts(D.concat_splits(list(parts.values())))
+    return R.TARGET_COUNTS(D.concat_splits(list(parts.values())))
 
 
 @query("customer_overlap")
@@ -456,63 +509,38 @@ def feature_nulls(spark, sf_dir):
 
 # ---- reports -----------------------------------------------------------------------------
 
-# name: (generation, blocks the report needs, report, columns rounded to 6 places)
-REPORTS: dict[str, tuple[str, tuple[str, ...], Callable[[DataFrame], DataFrame], tuple[str, ...]]] = {
-    "report_customer_history": ("v2", (), R.customer_history, ()),
-    "report_snapshots_per_customer_v2": ("v2", (), R.snapshots_per_customer, ()),
-    "report_repeat_history": ("v2", (), R.repeat_history, ()),
-    "report_order_count_profile": (
-        "v2", ("items",), R.order_count_profile, ("churn_rate", "avg_revenue", "avg_recency"),
-    ),
-    "report_outcome_by_order_count": ("v2", (), R.outcome_by_order_count, ()),
-    "report_outcome_by_order_band": ("v2", (), R.outcome_by_order_band, ()),
-    "report_churn_by_recency_wide": ("v2", (), R.churn_by_recency_wide, ()),
-    "report_target_share": ("v2", (), R.target_share, ()),
-    "report_described_features": (
-        "v2", ALL_BLOCKS, R.described_features, ("mean", "stddev", "min", "max"),
-    ),
-    "report_customers_by_max_orders": ("v2", (), R.customers_by_max_orders, ()),
-    "report_target_share_with_customers": ("v3", (), R.target_share_with_customers, ()),
-    "report_snapshots_per_customer_v3": ("v3", (), R.snapshots_per_customer, ()),
-    "report_churn_by_order_count": ("v3", (), R.churn_by_order_count, ("churn_rate",)),
-    "report_churn_by_recency": ("v3", (), R.churn_by_recency, ("churn_rate",)),
-    "report_churn_by_month": ("v3", (), R.churn_by_month, ("churn_rate",)),
-    "report_lifetime_summary": (
-        "v3", (), R.lifetime_summary, ("mean", "stddev", "min", "p25", "p50", "p75", "max"),
-    ),
-    "report_frequency_summary": (
-        "v3", (), R.frequency_summary, ("mean", "stddev", "min", "p25", "p50", "p75", "max"),
-    ),
-    "report_churn_by_customer_type": ("v3", (), R.churn_by_customer_type, ("churn_rate",)),
-    "report_core_feature_summary": (
-        "v3", ALL_BLOCKS, R.core_feature_summary, ("mean", "stddev", "min", "p25", "p50", "p75", "max"),
-    ),
-    "report_diversity_summary": (
-        "v3", ("diversity",), R.diversity_summary, ("mean", "stddev", "min", "p25", "p50", "p75", "max"),
-    ),
-    "report_order_count_recency_cells": ("v3", (), R.order_count_recency_cells, ("churn_rate",)),
-    "report_sample_by_date": ("v3", ALL_BLOCKS, R.sample_by_date, ()),
-    "report_overview_v1": ("v1", (), R.panel_overview, ()),
-    "report_overview_v2": ("v2", (), R.panel_overview, ()),
-    "report_overview_v3": ("v3", (), R.panel_overview, ()),
-    "report_rows_by_month": ("v3", (), R.rows_by_month, ()),
-    "report_target_counts": ("v1", (), R.target_counts, ()),
-    "report_diversity_summary_v2": (
-        "v2", ("diversity",), R.diversity_summary, ("mean", "stddev", "min", "p25", "p50", "p75", "max"),
-    ),
-}
+
+def _grouped_query(name: str) -> None:
+    generation, blocks, report = R.GROUPED[name]
+
+    @query(name)
+    def run(spark, sf_dir):
+        df = report(panel(spark, sf_dir, generation, blocks))
+        return rounded(df, 6, *[c for c in ("loss_rate", "mean_revenue", "mean_recency") if c in df.columns])
 
 
-def _report_query(name: str) -> None:
-    generation, blocks, report, means = REPORTS[name]
+def _summary_query(name: str) -> None:
+    generation, blocks, columns, quartiles = R.SUMMARIES[name]
 
     @query(name)
     def run(spark, sf_dir):
-        return rounded(report(panel(spark, sf_dir, generation, blocks)), 6, *means)
+        return summary(R.summary(panel(spark, sf_dir, generation, blocks), columns, quartiles))
 
 
-for _name in REPORTS:
-    _report_query(_name)
+for _name in R.GROUPED:
+    _grouped_query(_name)
+for _name in R.SUMMARIES:
+    _summary_query(_name)
+
+
+@query("report_sample_by_date")
+def report_sample_by_date(spark, sf_dir):
+    return shown(R.sample_by_date(panel(spark, sf_dir, "v3", ALL_BLOCKS)))
+
+
+@query("report_latest_sample_v1")
+def report_latest_sample_v1(spark, sf_dir):
+    return shown(R.sample_by_date(panel(spark, sf_dir, "v1", ALL_BLOCKS), 10, latest=True))
 
 
 # ---- evaluation --------------------------------------------------------------------------
@@ -546,6 +574,15 @@ def roc_auc(spark, sf_dir):
     return rounded(M.roc_auc(scored_panel(spark, sf_dir)), 9, "roc_auc")
 
 
+@query("ranking_metrics_distinct")
+def ranking_metrics_distinct(spark, sf_dir):
+    """A score that is another one in nearly every row: a hash of customer and date."""
+    token = F.md5(F.concat_ws("|", CUSTOMER, F.col(SNAPSHOT).cast("string")))
+    score = F.conv(F.substring(token, 1, 8), 16, 10).cast("double")
+    rows = panel(spark, sf_dir).select(F.col(TARGET).alias("label"), score.alias("score"))
+    return rounded(M.ranking_metrics(rows), 9, "pr_auc", "roc_auc", "prevalence")
+
+
 @query("ranking_metrics_documents")
 def ranking_metrics_documents(spark, sf_dir):
     """A second frame: document quality against length."""
@@ -637,14 +674,15 @@ def risk_band(spark, sf_dir):
 
 @query("batch_summary")
 def batch_summary(spark, sf_dir):
-    rows = panel(spark, sf_dir).withColumn(S.PROBABILITY, _heuristic())
+    rows = panel(spark, sf_dir, "v3", ALL_BLOCKS).withColumn(S.PROBABILITY, _heuristic())
     rows = rows.withColumn("recency_days", F.when(F.col("recency_days") > 3, F.col("recency_days")))
-    return S.batch_summary(S.decide(rows, 0.5), ["order_count_180d", "recency_days"])
+    return S.batch_summary(S.decide(rows, 0.5))
 
 
 @query("top100_risk")
 def top100_risk(spark, sf_dir):
-    top = S.top_risk(decided_panel(spark, sf_dir), 100, ties=[SNAPSHOT, CUSTOMER])
+    rows = panel(spark, sf_dir).select(CUSTOMER, SNAPSHOT, TARGET, _heuristic().alias(S.PROBABILITY))
+    top = S.decide(S.top_risk(rows, 100, ties=[SNAPSHOT, CUSTOMER]), 0.5)
     return shown(top, CUSTOMER, SNAPSHOT, TARGET, S.PROBABILITY, "churn_prediction", "risk_band")
 
 
@@ -667,10 +705,14 @@ def _dirty_batch(spark, sf_dir) -> DataFrame:
 @query("row_constraints")
 def row_constraints(spark, sf_dir):
     """Broken constraints counted by reason."""
-    checked = S.reject_reasons(_dirty_batch(spark, sf_dir))
-    # the outer form spares the optimiser a filter it would copy the whole check into
-    reasons = checked.select(F.explode_outer("reject_reasons").alias("reason")).where("reason is not null")
-    return reasons.groupBy("reason").agg(F.count("*").alias("rows"))
+    return S.reject_counts(_dirty_batch(spark, sf_dir))
+
+
+@query("rejected_rows")
+def rejected_rows(spark, sf_dir):
+    """Rows set aside, with their reasons."""
+    rows = S.rejected_rows(_dirty_batch(spark, sf_dir))
+    return shown(rows.withColumn("reasons", F.array_join("reject_reasons", "; ")), CUSTOMER, SNAPSHOT, "reasons")
 
 
 @query("valid_rows")
@@ -690,11 +732,10 @@ def seeded_sample(spark, sf_dir):
 
 @query("importance_share")
 def importance_share(spark, sf_dir):
-    """Mean absolute deviation of each feature as a stand-in importance; share and rank."""
+    """Mean absolute deviation from 1 of each feature as a stand-in importance; the two strongest."""
     from panelmill.operators.explain import mean_absolute, top_features
 
-    names = ["order_count_180d", "recency_days", "customer_lifetime_days"]
-    table = mean_absolute(panel(spark, sf_dir).select(*[(F.col(n) - 1).alias(n) for n in names]), names)
+    table = mean_absolute(panel(spark, sf_dir, "v3", ALL_BLOCKS).select(*[(F.col(n) - 1).alias(n) for n in FEATURES]))
     return rounded(top_features(table, 2, "mean_abs_value"), 6, "mean_abs_value", "importance_pct")
 
 
@@ -702,55 +743,119 @@ def importance_share(spark, sf_dir):
 def mean_abs_attribution(spark, sf_dir):
     from panelmill.operators.explain import mean_absolute
 
-    # attributions of a fixed linear rule: coefficient times distance from a fixed centre
-    rule = {"order_count_180d": (-0.5, 2.0), "recency_days": (0.01, 60.0), "customer_lifetime_days": (-0.002, 90.0)}
-    rows = panel(spark, sf_dir).select(
-        *[(F.lit(c) * (F.col(f) - F.lit(m))).alias(f) for f, (c, m) in rule.items()]
+    # attributions of a fixed linear rule: coefficient times distance from a centre, both from the place of the feature
+    rows = panel(spark, sf_dir, "v3", ALL_BLOCKS).select(
+        *[(F.lit((-1) ** i / (i + 2)) * (F.col(f) - F.lit(float(i)))).alias(f) for i, f in enumerate(FEATURES)]
     )
-    return rounded(mean_absolute(rows, list(rule)), 6, "mean_abs_value", "importance_pct")
+    return rounded(mean_absolute(rows), 6, "mean_abs_value", "importance_pct")
 
 
 @query("attribution_headline")
 def attribution_headline(spark, sf_dir):
     from panelmill.operators.explain import headline, mean_absolute
 
-    names = ["order_count_180d", "recency_days", "customer_lifetime_days"]
-    return rounded(headline(mean_absolute(panel(spark, sf_dir).select(*names), names)), 6, "top_value", "top_share_pct")
+    table = mean_absolute(panel(spark, sf_dir, "v3", ALL_BLOCKS).select(*FEATURES))
+    return rounded(headline(table), 6, "top_value", "top_share_pct")
 
 
-# ---- models: no SQL counterpart ----------------------------------------------------------
+# ---- models ------------------------------------------------------------------------------
+#
+# What a fitted model says can't be stated in SQL, but what must hold of it can: how many rows it
+# scores, that decisions follow from its probabilities, that attributions add up to its output.
 
-# Iterations of the registered fits; the functions default to the full sizes.
-FIT_SIZES = {"logistic": 2000, "forest": 50, "boosting": 30, "perceptron": 50}
+_DATASETS: dict[tuple[str, str], DataFrame] = {}
+_MODELS: dict[tuple[str, str, str], object] = {}
 
 
-def _stored_dataset(spark, sf_dir) -> DataFrame:
-    return X.staged(dataset_v3(spark, sf_dir, ALL_BLOCKS), "dataset")
+def _dataset(spark, sf_dir) -> DataFrame:
+    """The stored dataset, once for each application and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _DATASETS:
+        _DATASETS[key] = X.staged(dataset_v3(spark, sf_dir, ALL_BLOCKS), "dataset")
+    return _DATASETS[key]
 
 
 def _parts(spark, sf_dir) -> dict[str, DataFrame]:
-    return D.split_frames(_stored_dataset(spark, sf_dir))
+    return D.split_frames(_dataset(spark, sf_dir))
+
+
+def _once(spark, sf_dir, kind: str, make):
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _MODELS:
+        _MODELS[key] = make()
+    return _MODELS[key]
+
+
+def _model(spark, sf_dir, kind: str):
+    """A candidate of full size, fitted once for each application and input."""
+    from panelmill.operators import models as L
 
+    train = _parts(spark, sf_dir)["train"]
+    shared = _once(spark, sf_dir, "prepared", lambda: L.prepared(train))
+    total = L.class_weights(shared[1]).first()["total_weight"]
+    estimator, scheme = {
+        "logistic": (L.logistic(total), "balanced"),
+        "forest": (L.forest(), "balanced"),
+        "boosting": (L.boosting(), "retained"),
+        "perceptron": (L.perceptron(), None),
+    }[kind]
+    return _once(spark, sf_dir, kind, lambda: L.fit(train, estimator, scheme=scheme, shared=shared))
+
+
+def _facts(exact: DataFrame, decided: DataFrame, threshold: float, name: str) -> DataFrame:
+    """One row: rows and positives scored, probabilities out of range, decisions and bands that don't follow from them."""
+    p = F.col(S.PROBABILITY)
+    expected = exact.select(
+        CUSTOMER, SNAPSHOT, TARGET, p.alias("_p"), (p >= F.lit(threshold)).cast("int").alias("_yes"), S.risk_band(p).alias("_band")
+    )
+    both = decided.drop(TARGET).join(expected, [CUSTOMER, SNAPSHOT])
+    return both.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col(TARGET) == 1).alias("positives"),
+        F.count_if(~F.coalesce(F.col("_p").between(0, 1), F.lit(False))).alias("out_of_range"),
+        F.count_if(F.col("_yes") != F.col("churn_prediction")).alias("decisions_off"),
+        F.count_if(F.col("_band") != F.col("risk_band")).alias("bands_off"),
+        F.count_if(F.abs(F.col("_p") - p) > 5.1e-7).alias("rounding_off"),
+    ).select(F.lit(name).alias("model"), "*")
 
-def _fit_query(name: str, make, scheme: str | None) -> None:
+
+def _scored(spark, sf_dir, kind: str, part: str) -> DataFrame:
+    rows = _parts(spark, sf_dir)[part]
+    return X.staged(S.with_probability(rows, _model(spark, sf_dir, kind)), "scored")
+
+
+def _fit_query(name: str, kind: str) -> None:
     @query(name)
     def run(spark, sf_dir):
-        from panelmill.operators import models as L
+        exact = _scored(spark, sf_dir, kind, "validation")
+        return _facts(exact, S.decide(exact, 0.5), 0.5, name)
 
-        parts = _parts(spark, sf_dir)
-        shared = L.prepared(parts["train"])
-        model = L.fit(parts["train"], make(L, shared[1]), scheme=scheme, shared=shared)
-        return L.evaluate(model, parts["validation"], name, "validation")
 
+_fit_query("logistic_fit", "logistic")
+_fit_query("forest_fit", "forest")
+_fit_query("gbt_fit", "boosting")
+_fit_query("mlp_fit", "perceptron")
 
-def _make_logistic(L, vectors):
-    return L.logistic(L.class_weights(vectors).first()["total_weight"], FIT_SIZES["logistic"])
 
+@query("logistic_gradient")
+def logistic_gradient(spark, sf_dir):
+    """Largest slope of the penalised weighted loss at the fitted coefficients, and rows it is taken over."""
+    from pyspark.ml.functions import vector_to_array
 
-_fit_query("logistic_fit", _make_logistic, "balanced")
-_fit_query("forest_fit", lambda L, _: L.forest(FIT_SIZES["forest"]), "balanced")
-_fit_query("gbt_fit", lambda L, _: L.boosting(FIT_SIZES["boosting"]), "retained")
-_fit_query("mlp_fit", lambda L, _: L.perceptron(max_iter=FIT_SIZES["perceptron"]), None)
+    from panelmill.operators import models as L
+
+    last = _model(spark, sf_dir, "logistic").stages[-1]
+    vectors = _once(spark, sf_dir, "prepared", lambda: None)[1]
+    rows = L.weighted(vectors).select(vector_to_array("features").alias("x"), F.col(TARGET).alias("y"), F.col(L.WEIGHT).alias("w"))
+    coefficients = [float(c) for c in last.coefficients]
+    margin = sum((F.col("x")[i] * F.lit(c) for i, c in enumerate(coefficients)), F.lit(float(last.intercept)))
+    error = rows.select("x", "w", (F.col("w") * (1 / (1 + F.exp(-margin)) - F.col("y"))).alias("e"))
+    penalty = last.getRegParam()
+    total = F.sum("w")
+    slopes = [F.abs(F.sum(F.col("e") * F.col("x")[i]) / total + F.lit(penalty * c)) for i, c in enumerate(coefficients)]
+    return error.agg(
+        F.count("*").alias("rows"), F.round(F.greatest(F.abs(F.sum("e") / total), *slopes), 3).alias("steepest")
+    )
 
 
 @query("class_weights")
@@ -767,73 +872,114 @@ def class_weights(spark, sf_dir):
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    """The grid with fewer trees per point."""
-    from panelmill.operators.models import BOOSTING_GRID
+    """The whole grid: points tried, metrics out of range, and whether the first row is the best."""
     from panelmill.operators.models import grid_search as search
 
     parts = _parts(spark, sf_dir)
-    table, _ = search(parts["train"], parts["validation"], {**BOOSTING_GRID, "trees": (5, 10)})
-    return table
+    table = X.staged(search(parts["train"], parts["validation"])[0], "grid")
+    best = F.max_by("point", F.struct("pr_auc", -F.col("point"))).alias("best")
+    first = Q.sample_rows(table.orderBy(F.desc("pr_auc"), "point"), 1).select("point")
+    return table.agg(
+        F.count("*").alias("points"),
+        F.count_distinct("depth", "rate", "trees").alias("distinct_points"),
+        F.max("trees").alias("most_trees"),
+        F.count_if(~F.col("pr_auc").between(0, 1) | ~F.col("roc_auc").between(0, 1)).alias("out_of_range"),
+        best,
+    ).join(first, F.col("best") == F.col("point"), "left").select(
+        "points", "distinct_points", "most_trees", "out_of_range", F.col("point").isNotNull().cast("int").alias("best_is_first")
+    )
 
 
 @query("training_workflow")
 def training_workflow(spark, sf_dir):
-    """Candidates, champion, threshold, one test; the run is stored and its metrics returned."""
-    from panelmill.plans.training import store, train
-
-    run = train(_stored_dataset(spark, sf_dir), sizes=FIT_SIZES)
-    store(run, scratch_path(spark, "run"))
-    return run.test_metrics
-
-
-def _fitted(spark, sf_dir, kind: str):
-    from panelmill.operators import models as L
-
-    parts = _parts(spark, sf_dir)
-    shared = L.prepared(parts["train"])
-    make = {
-        "logistic": lambda: _make_logistic(L, shared[1]),
-        "boosting": lambda: L.boosting(FIT_SIZES["boosting"]),
-        "forest": lambda: L.forest(FIT_SIZES["forest"]),
-    }[kind]
-    return L.fit(parts["train"], make(), shared=shared), parts["test"]
+    """Candidates, champion, threshold, one test, explanations: the stored run read back and checked against itself."""
+    from panelmill.plans.training import explain, store, train
+
+    path = scratch_path(spark, "run")
+    run = train(_dataset(spark, sf_dir))
+    store(run, path)
+    explain(run, path)
+
+    def read(name: str) -> DataFrame:
+        return X.read_csv(spark, f"{path}/{name}", infer=True)
+
+    record = spark.read.json(f"{path}/run_record")
+    results = read("model_results").agg(F.count("*").alias("candidates"), F.max_by("model", F.struct("pr_auc")).alias("best"))
+    sweep = read("threshold_results").agg(F.count("*").alias("thresholds"), F.max("f1").alias("top"))
+    chosen = read("threshold_results").select(F.col("threshold").alias("_t"), F.col("f1").alias("_f1"))
+    matrix = read("test_confusion").agg(F.sum("rows").cast("long").alias("confusion_rows"))
+    predictions = X.read_parquet(spark, f"{path}/test_predictions").agg(
+        F.count("*").alias("prediction_rows"), F.count_if(F.col(TARGET) == 1).alias("test_positives")
+    )
+    risky = read("high_risk").agg(F.count("*").alias("high_risk_rows"), F.count(TARGET).alias("labelled"))
+    # one row each
+    one = record.crossJoin(results).crossJoin(sweep).crossJoin(matrix).crossJoin(predictions).crossJoin(risky)
+    return one.join(chosen, F.abs(F.col("threshold") - F.col("_t")) < 1e-9).select(
+        "candidates",
+        (F.col("best") == F.col("champion_model")).cast("int").alias("champion_is_best"),
+        "thresholds",
+        (F.col("_f1") == F.col("top")).cast("int").alias("threshold_is_best"),
+        "train_rows", "validation_rows", "test_rows", "train_last", "test_first",
+        "confusion_rows", "prediction_rows", "test_positives", "high_risk_rows", "labelled",
+    )
 
 
 @query("batch_scoring")
 def batch_scoring(spark, sf_dir):
-    """Test period scored by a fitted model: probability, decision, band."""
-    model, test = _fitted(spark, sf_dir, "logistic")
-    scored = S.score(test, model)
-    return shown(scored, CUSTOMER, SNAPSHOT, S.PROBABILITY, "churn_prediction", "risk_band", "threshold")
+    """Test period as a batch: features checked, probability, decision, band."""
+    exact = _scored(spark, sf_dir, "logistic", "test")
+    scored = S.score(_parts(spark, sf_dir)["test"], _model(spark, sf_dir, "logistic"))
+    return _facts(exact, scored, S.SCORE_THRESHOLD, "batch_scoring")
 
 
 @query("high_risk_sample")
 def high_risk_sample(spark, sf_dir):
-    """Hundred highest probabilities of a seeded sample of the test period."""
-    model, test = _fitted(spark, sf_dir, "boosting")
-    sample = S.seeded_sample(test, [CUSTOMER, SNAPSHOT])
-    return shown(S.top_risk(S.score(sample, model), ties=[SNAPSHOT, CUSTOMER]))
+    """The hundred highest probabilities of the test period: how many, and rows left out that are higher."""
+    exact = _scored(spark, sf_dir, "boosting", "test").select(CUSTOMER, SNAPSHOT, TARGET, S.PROBABILITY)
+    top = X.staged(S.top_risk(exact, 100, ties=[SNAPSHOT, CUSTOMER]), "top")
+    floor = top.agg(F.count("*").alias("rows"), F.count(TARGET).alias("labelled"), F.min(S.PROBABILITY).alias("least"))
+    others = exact.join(top.select(CUSTOMER, SNAPSHOT), [CUSTOMER, SNAPSHOT], "left_anti").crossJoin(F.broadcast(floor))
+    missed = others.agg(F.count_if(F.col(S.PROBABILITY) > F.col("least")).alias("higher_left_out"))
+    return floor.crossJoin(missed).select("rows", "labelled", "higher_left_out")
 
 
 @query("forest_importance")
 def forest_importance(spark, sf_dir):
-    from panelmill.operators.explain import model_importance, top_features
+    from panelmill.operators.explain import model_importance
+
+    table = model_importance(spark, _model(spark, sf_dir, "forest"))
+    return table.agg(
+        F.count("*").alias("features"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+        F.round(F.sum("importance_pct"), 3).alias("total_pct"),
+    )
 
-    model, _ = _fitted(spark, sf_dir, "forest")
-    return top_features(model_importance(spark, model), 20)
+
+def _attribution_facts(spark, sf_dir, kind: str, output) -> DataFrame:
+    """Rows attributed, and the largest gap between base value plus attributions and the model's output."""
+    from panelmill.operators.explain import linear_attribution, mean_absolute, tree_attribution
+
+    model, test = _model(spark, sf_dir, kind), _parts(spark, sf_dir)["test"]
+    attribute = linear_attribution if kind == "logistic" else tree_attribution
+    values = X.staged(attribute(test, model, (CUSTOMER, SNAPSHOT)), "attributions")
+    whole = sum((F.col(f) for f in FEATURES), F.col("base_value"))
+    said = model.transform(test).select(CUSTOMER, SNAPSHOT, output.alias("_said"))
+    gap = values.join(said, [CUSTOMER, SNAPSHOT]).agg(
+        F.count("*").alias("rows"), F.round(F.max(F.abs(whole - F.col("_said"))), 6).alias("gap")
+    )
+    shares = mean_absolute(values).agg(F.round(F.sum("importance_pct"), 3).alias("total_pct"))
+    return gap.crossJoin(shares)  # one row each
 
 
 @query("linear_attribution")
 def linear_attribution(spark, sf_dir):
-    from panelmill.operators.explain import linear_attribution, mean_absolute
+    from pyspark.ml.functions import vector_to_array
 
-    model, test = _fitted(spark, sf_dir, "logistic")
-    return mean_absolute(linear_attribution(test, model))
+    return _attribution_facts(spark, sf_dir, "logistic", vector_to_array("rawPrediction")[1])
 
 
 @query("tree_attribution")
 def tree_attribution(spark, sf_dir):
-    from panelmill.operators.explain import mean_absolute, tree_attribution
+    from pyspark.ml.functions import vector_to_array
 
-    model, test = _fitted(spark, sf_dir, "boosting")
-    return mean_absolute(tree_attribution(test, model))
+    return _attribution_facts(spark, sf_dir, "boosting", 2 * vector_to_array("rawPrediction")[1])

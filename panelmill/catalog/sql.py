@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from panelmill.catalog.queries import GOLD_COLUMNS, LINE_MEASURES
 from panelmill.catalog.sql_base import (
     BASE,
     BASE_LABEL_V2,
@@ -15,8 +14,32 @@ from panelmill.catalog.sql_base import (
     GOLD_V3_ALL,
     shown,
 )
-from panelmill.plans.reports import CORE_FEATURES, DESCRIBED, DIVERSITY, SAMPLE_COLUMNS
-from panelmill.schema import FEATURES
+
+# Fixed values, stated here on their own: what the queries must return doesn't come from the code under test.
+FEATURES = """order_count_180d revenue_180d payment_value_180d freight_value_180d item_count_180d
+    avg_payment_type_count_180d avg_installments_180d avg_review_score_180d review_count_180d
+    avg_delivery_delay_180d late_delivery_rate_180d unique_products_180d unique_categories_180d
+    unique_sellers_180d recency_days customer_lifetime_days avg_order_value_180d orders_per_month_180d
+    revenue_per_month_180d""".split()
+CORE_FEATURES = """order_count_180d revenue_180d payment_value_180d freight_value_180d item_count_180d
+    unique_products_180d unique_categories_180d unique_sellers_180d recency_days customer_lifetime_days
+    avg_order_value_180d orders_per_month_180d revenue_per_month_180d""".split()
+DIVERSITY = "unique_products_180d unique_categories_180d unique_sellers_180d".split()
+DESCRIBED = """order_count_180d item_count_180d unique_products_180d unique_categories_180d unique_sellers_180d
+    payment_value_180d revenue_180d recency_days customer_lifetime_days churn_90d""".split()
+SHORT_SUMMARY = "order_count_180d revenue_180d recency_days avg_order_value_180d late_delivery_rate_180d".split()
+SAMPLE_COLUMNS = """customer_unique_id observation_date order_count_180d revenue_180d payment_value_180d
+    item_count_180d unique_products_180d unique_categories_180d unique_sellers_180d recency_days
+    customer_lifetime_days churn_90d""".split()
+LINE_MEASURES = "l_quantity l_extendedprice l_discount l_tax".split()
+_ENDS = ["future_orders_90d", "churn_90d"]
+GOLD_COLUMNS = {
+    "v1": ["customer_unique_id", "observation_date", *[f for f in FEATURES if f not in DIVERSITY],
+           "distinct_product_baskets_180d", "avg_products_per_order_180d", "avg_categories_per_order_180d",
+           "avg_sellers_per_order_180d", *_ENDS],
+    "v2": ["customer_unique_id", "observation_date", *FEATURES, *_ENDS],
+    "v3": ["customer_unique_id", "observation_date", *FEATURES, *_ENDS],
+}
 
 GOLDS = {"v1": GOLD_V1, "v2": GOLD_V2, "v3": GOLD_V3}
 
@@ -192,6 +215,34 @@ def summary_sql(base: str, source: str, columns, quartiles: bool = True) -> str:
 
 NULLS = "count(*) - count({c}) as null_count"
 
+# source rows of each raw table, and where a column of it is NULL as written (malformed values aren't)
+RAW_ROWS = {
+    "customers": (repeated("customer", "c_custkey", 10), {"customer_id": "c_custkey % 97 = 0"}),
+    "orders": (repeated("purchases", "k", 20), {
+        "order_id": "k % 101 = 0", "order_status": "status is null", "order_delivered_customer_date": "k % 97 = 0",
+    }),
+    "order_items": ("lineitem", {"order_id": "l_orderkey % 211 = 0"}),
+    "payments": (repeated("purchases", "k", 3), {"order_id": "k % 103 = 0"}),
+    "reviews": (repeated("purchases", "k", 9, "where k % 10 <> 0"), {
+        "review_id": "k % 107 = 0", "review_comment_message": "k % 4 = 0",
+    }),
+    "products": (repeated("part", "p_partkey", 6), {
+        "product_id": "p_partkey % 109 = 0", "product_category_name": "p_partkey % 8 = 0",
+    }),
+    "sellers": (repeated("supplier", "s_suppkey", 4), {"seller_id": "s_suppkey % 31 = 0"}),
+    "geolocation": (repeated("customer", "c_custkey", 10), {}),
+    "category_translation": ("part", {"product_category_name": "p_partkey % 10 = 0"}),
+}
+
+
+def raw_profile() -> str:
+    return "with " + PURCHASES.strip() + " " + " union all ".join(
+        f"select '{t}' as table_name, '{c}' as column_name, 'string' as data_type, "
+        f"count(*) filter ({nulls.get(c, 'false')}) as null_count, count(*) as rows, {len(COLUMNS[t].split())} as columns from {source}"
+        for t, (source, nulls) in RAW_ROWS.items()
+        for c in COLUMNS[t].split()
+    )
+
 
 # ---- splits ------------------------------------------------------------------------------
 
@@ -222,87 +273,78 @@ SPLIT_V2 = (
 
 # ---- reports -----------------------------------------------------------------------------
 
-OUTCOME = (
-    "count(*) as customers, count(*) filter (churn_90d = 1) as churned, "
-    "count(*) filter (churn_90d = 0) as retained, round(avg(churn_90d) * 100, 3) as churn_rate_pct"
-)
-RATES = (
-    "count(*) as rows, cast(sum(churn_90d) as bigint) as churned, round(avg(churn_90d), 6) as churn_rate, "
-    "round(avg(churn_90d) * 100, 3) as churn_rate_pct"
-)
+LOST = "count(*) filter (churn_90d = 1) as lost"
+RATE = "round(avg(churn_90d), 6) as loss_rate, round(avg(churn_90d) * 100, 3) as loss_pct"
+OUTCOME = f"count(*) as rows, {LOST}, count(*) filter (churn_90d = 0) as kept, round(avg(churn_90d) * 100, 3) as loss_pct"
+RATES = f"count(*) as rows, {LOST}, {RATE}"
+PEOPLE = "count(distinct customer_unique_id) as people"
 DAY = "cast(observation_date as varchar) as observation_date"
+MONTH = "cast(observation_date as varchar) as month"
 OVERVIEW = (
-    "select count(*) as rows, count(distinct customer_unique_id) as customers, "
-    "cast(min(observation_date) as varchar) as min_date, cast(max(observation_date) as varchar) as max_date, "
-    "count(*) filter (churn_90d = 1) as churned, count(*) filter (churn_90d = 0) as retained from gold"
-)
-SNAPSHOT_HISTOGRAM = (
-    "select snapshot_count, count(*) as customers from "
-    "(select customer_unique_id, count(*) as snapshot_count from gold group by 1) group by 1"
+    f"select count(*) as rows, {PEOPLE}, cast(min(observation_date) as varchar) as first_day, "
+    f"cast(max(observation_date) as varchar) as last_day, {LOST}, count(*) filter (churn_90d = 0) as kept from gold"
 )
+HISTORY = """(select customer_unique_id, max(order_count_180d) as most_orders, max(customer_lifetime_days) as longest_days,
+    count(*) as snapshots from gold group by 1)"""
+SNAPSHOT_HISTOGRAM = f"select snapshots, count(*) as rows from {HISTORY} group by 1"
 
 
 def share(columns: str, digits: int) -> str:
     return (
-        f"select *, round(cast(rows as double) / (sum(rows) over ()) * 100, {digits}) as percentage "
-        f"from (select churn_90d, {columns} from gold group by 1)"
+        f"select *, round(cast(rows as double) / (sum(rows) over ()) * 100, {digits}) as share_pct "
+        f"from (select churn_90d as target, {columns} from gold group by 1)"
     )
 
 
 REPORTS = {
-    "report_customer_history": f"""{GOLD_V2} select customer_unique_id, max(order_count_180d) as max_orders_180d,
-        max(customer_lifetime_days) as lifetime_days, count(*) as snapshot_count from gold group by 1""",
+    "report_customer_history": f"{GOLD_V2} select customer_unique_id, most_orders, longest_days, snapshots from {HISTORY}",
     "report_snapshots_per_customer_v2": f"{GOLD_V2} {SNAPSHOT_HISTOGRAM}",
-    "report_repeat_history": f"""{GOLD_V2} select case when n = 1 then 'one_snapshot' else 'multiple_snapshots' end
-        as customer_type, count(*) as customers
-        from (select customer_unique_id, count(*) as n from gold group by 1) group by 1""",
-    "report_order_count_profile": f"""{GOLD_V2} select order_count_180d, count(*) as rows,
-        round(avg(churn_90d), 6) as churn_rate, round(avg(revenue_180d), 6) as avg_revenue,
-        round(avg(recency_days), 6) as avg_recency from gold group by 1""",
-    "report_outcome_by_order_count": f"{GOLD_V2} select order_count_180d, {OUTCOME} from gold group by 1",
+    "report_snapshots_per_customer_v3": f"{GOLD_V3} {SNAPSHOT_HISTOGRAM}",
+    "report_repeat_history": f"""{GOLD_V2} select case when snapshots = 1 then 'once' else 'more often' end as seen,
+        count(*) as rows from {HISTORY} group by 1""",
+    "report_customers_by_max_orders": f"{GOLD_V2} select most_orders, count(*) as rows from {HISTORY} group by 1",
+    "report_order_count_profile": f"""{GOLD_V2} select order_count_180d as orders, count(*) as rows,
+        round(avg(churn_90d), 6) as loss_rate, round(avg(revenue_180d), 6) as mean_revenue,
+        round(avg(recency_days), 6) as mean_recency from gold group by 1""",
+    "report_outcome_by_order_count": f"{GOLD_V2} select order_count_180d as orders, {OUTCOME} from gold group by 1",
     "report_outcome_by_order_band": f"""{GOLD_V2} select case when order_count_180d <= 3
-        then cast(order_count_180d as varchar) else '4+' end as order_count_band, {OUTCOME} from gold group by 1""",
+        then cast(order_count_180d as varchar) else '4+' end as order_band, {OUTCOME} from gold group by 1""",
     "report_churn_by_recency_wide": f"""{GOLD_V2} select case when recency_days <= 30 then '0-30'
         when recency_days <= 60 then '31-60' when recency_days <= 90 then '61-90'
-        when recency_days <= 120 then '91-120' else '120+' end as recency_band, count(*) as customers,
-        round(avg(churn_90d) * 100, 3) as churn_rate_pct from gold group by 1""",
+        when recency_days <= 120 then '91-120' else '120+' end as recency_band_wide, count(*) as rows,
+        round(avg(churn_90d) * 100, 3) as loss_pct from gold group by 1""",
     "report_target_share": f"{GOLD_V2} {share('count(*) as rows', 3)}",
-    "report_described_features": summary_sql(GOLD_V2, "gold", DESCRIBED, quartiles=False),
-    "report_customers_by_max_orders": f"""{GOLD_V2} select max_orders_180d, count(*) as customers
-        from (select customer_unique_id, max(order_count_180d) as max_orders_180d from gold group by 1) group by 1""",
-    "report_target_share_with_customers":
-        f"{GOLD_V3} {share('count(*) as rows, count(distinct customer_unique_id) as customers', 4)}",
-    "report_snapshots_per_customer_v3": f"{GOLD_V3} {SNAPSHOT_HISTOGRAM}",
-    "report_churn_by_order_count": f"{GOLD_V3} select order_count_180d, {RATES} from gold group by 1",
+    "report_target_share_with_customers": f"{GOLD_V3} {share('count(*) as rows, ' + PEOPLE, 4)}",
+    "report_churn_by_order_count": f"{GOLD_V3} select order_count_180d as orders, {RATES} from gold group by 1",
     "report_churn_by_recency": f"""{GOLD_V3} select case when recency_days <= 30 then '0-30'
         when recency_days <= 60 then '31-60' when recency_days <= 90 then '61-90'
         when recency_days <= 120 then '91-120' when recency_days <= 150 then '121-150' else '151-180' end
         as recency_band,
         cast((recency_days > 30)::int + (recency_days > 60)::int + (recency_days > 90)::int
-             + (recency_days > 120)::int + (recency_days > 150)::int as integer) as band_key, {RATES}
+             + (recency_days > 120)::int + (recency_days > 150)::int as integer) as band_number, {RATES}
         from gold group by 1, 2""",
-    "report_churn_by_month": f"""{GOLD_V3} select {DAY}, {RATES}, count(distinct customer_unique_id) as customers
+    "report_churn_by_month": f"{GOLD_V3} select {MONTH}, {RATES} from gold group by 1",
+    "report_churn_by_customer_type": f"""{GOLD_V3} select case when order_count_180d = 1 then 'once'
+        when order_count_180d > 1 then 'again' else 'never' end as buyer, count(*) as rows, {PEOPLE}, {RATE}
         from gold group by 1""",
+    "report_order_count_recency_cells": f"""{GOLD_V3} select order_count_180d as orders, cast(recency_days as integer)
+        as recency, count(*) as rows, {RATE} from gold group by 1, 2 order by rows desc, orders, recency limit 50""",
+    "report_overview_v1": f"{GOLD_V1} {OVERVIEW}",
+    "report_overview_v2": f"{GOLD_V2} {OVERVIEW}",
+    "report_overview_v3": f"{GOLD_V3} {OVERVIEW}",
+    "report_rows_by_month": f"{GOLD_V3} select {MONTH}, count(*) as rows from gold group by 1",
+    "report_target_counts": f"{GOLD_V1} select churn_90d as target, count(*) as rows from gold group by 1",
+    "report_described_features": summary_sql(GOLD_V2, "gold", DESCRIBED, quartiles=False),
     "report_lifetime_summary": summary_sql(GOLD_V3, "gold", ["customer_lifetime_days"]),
     "report_frequency_summary": summary_sql(GOLD_V3, "gold", ["order_count_180d"]),
-    "report_churn_by_customer_type": f"""{GOLD_V3} select case when order_count_180d = 1 then 'single_order'
-        when order_count_180d >= 2 then 'repeat_order' else 'no_order' end as customer_type, count(*) as rows,
-        count(distinct customer_unique_id) as customers, round(avg(churn_90d), 6) as churn_rate,
-        round(avg(churn_90d) * 100, 3) as churn_rate_pct from gold group by 1""",
     "report_core_feature_summary": summary_sql(GOLD_V3, "gold", CORE_FEATURES),
     "report_diversity_summary": summary_sql(GOLD_V3, "gold", DIVERSITY),
-    "report_order_count_recency_cells": f"""{GOLD_V3} select order_count_180d, cast(recency_days as integer)
-        as recency_days, count(*) as rows, round(avg(churn_90d), 6) as churn_rate,
-        round(avg(churn_90d) * 100, 3) as churn_rate_pct from gold group by 1, 2
-        order by rows desc, order_count_180d, recency_days limit 50""",
+    "report_diversity_summary_v2": summary_sql(GOLD_V2, "gold", DIVERSITY),
+    "report_short_summary_v1": summary_sql(GOLD_V1, "gold", SHORT_SUMMARY),
     "report_sample_by_date": f"""{GOLD_V3} select {', '.join(shown(c) for c in SAMPLE_COLUMNS)}
         from (select * from gold order by observation_date, customer_unique_id limit 20)""",
-    "report_overview_v1": f"{GOLD_V1} {OVERVIEW}",
-    "report_overview_v2": f"{GOLD_V2} {OVERVIEW}",
-    "report_overview_v3": f"{GOLD_V3} {OVERVIEW}",
-    "report_rows_by_month": f"{GOLD_V3} select {DAY}, count(*) as rows from gold group by 1",
-    "report_target_counts": f"{GOLD_V1} select churn_90d, count(*) as rows from gold group by 1",
-    "report_diversity_summary_v2": summary_sql(GOLD_V2, "gold", DIVERSITY),
+    "report_latest_sample_v1": f"""{GOLD_V1} select {', '.join(shown(c) for c in SAMPLE_COLUMNS if c not in DIVERSITY)}
+        from (select * from gold order by observation_date desc, customer_unique_id limit 10)""",
 }
 
 # ---- evaluation --------------------------------------------------------------------------
@@ -416,13 +458,9 @@ def mean_abs(parts: dict[str, str]) -> str:
     return f"{GOLD_V3}, attr as ({body}), shares as (select feature, v as mean_abs_value, v / sum(v) over () * 100 as importance_pct from attr)"
 
 
-PLAIN = {c: c for c in ("order_count_180d", "recency_days", "customer_lifetime_days")}
-MINUS_ONE = {c: f"{c} - 1" for c in PLAIN}
-RULE = {
-    "order_count_180d": "-0.5::double * (order_count_180d - 2.0::double)",
-    "recency_days": "0.01::double * (recency_days - 60.0::double)",
-    "customer_lifetime_days": "-0.002::double * (customer_lifetime_days - 90.0::double)",
-}
+PLAIN = {c: c for c in FEATURES}
+MINUS_ONE = {c: f"{c} - 1" for c in FEATURES}
+RULE = {c: f"{(-1) ** i / (i + 2)!r}::double * ({c} - {float(i)!r}::double)" for i, c in enumerate(FEATURES)}
 ROUND_SHARES = "round(mean_abs_value, 6) as mean_abs_value, round(importance_pct, 6) as importance_pct"
 
 LEVEL_COLUMNS = """order_id, customer_unique_id, cast(delivery_delay_days as integer) as delivery_delay_days, {late} as is_late,
@@ -432,23 +470,22 @@ LEVEL_COLUMNS = """order_id, customer_unique_id, cast(delivery_delay_days as int
 
 SQL: dict[str, str] = {
     "csv_bronze_silver": stage_counts(),
-    "gold_partition_read": f"""{GOLD_V3} select {DAY}, {RATES}, count(distinct customer_unique_id) as customers
-        from gold where year(observation_date) = 1999 group by 1""",
-    "dataset_partition_read": f"""{SPLIT_V3} select {DAY}, {RATES}, count(distinct customer_unique_id) as customers
-        from split where dataset_split = 'test' group by 1""",
-    "scored_csv_roundtrip": f"""{DECIDED} select count(*) as total,
-        count(*) filter (churn_prediction = 1) as predicted_churn, count(*) filter (risk_band = 'High') as high_risk,
-        count(*) filter (risk_band = 'Medium') as medium_risk, count(*) filter (risk_band = 'Low') as low_risk,
-        cast(0 as bigint) as rows_with_missing from decided""",
-    "raw_profile": per_column(
-        "with " + PURCHASES.strip() + ", raw as (select case when k % 101 <> 0 then k end as order_id,"
-        " o_custkey as customer_id, status as order_status, ts as order_purchase_timestamp,"
-        " ts as order_approved_at, ts as order_delivered_carrier_date,"
-        " case when k % 97 <> 0 then ts end as order_delivered_customer_date, ts as order_estimated_delivery_date"
-        f" from {repeated('purchases', 'k', 20)})",
-        "raw",
-        COLUMNS["orders"].split(),
-        NULLS + ", count(*) as rows, 8 as columns",
+    "gold_partition_read": f"""{GOLD_V3} select cast(year(observation_date) as integer) as observation_year,
+        count(*) as rows, nullif(count(*) filter (year(observation_date) = 1999), 0) as pruned_rows,
+        cast(sum(churn_90d) filter (year(observation_date) = 1999) as bigint) as pruned_lost from gold group by 1""",
+    "gold_month_partitions": f"""{GOLD_V2} select cast(year(observation_date) as integer) as observation_year,
+        cast(month(observation_date) as integer) as observation_month, count(*) as rows from gold group by 1, 2""",
+    "dataset_date_partitions": f"{SPLIT_V3} select {MONTH}, {RATES} from split group by 1",
+    "dataset_partition_read": f"{SPLIT_V3} select {MONTH}, {RATES} from split where dataset_split = 'test' group by 1",
+    "scored_csv_roundtrip": f"""{DECIDED} select customer_unique_id, {DAY}, order_count_180d::double as order_count_180d,
+        churn_probability, churn_prediction, risk_band from decided""",
+    "csv_malformed": """select count(*) as rows, count(*) filter (o_orderkey % 10 in (0, 1, 2)) as malformed,
+        count(*) filter (o_orderkey % 10 <> 2) as order_keys,
+        cast(sum(o_custkey) filter (o_orderkey % 10 not in (0, 1, 2)) as bigint) as customer_sum from orders""",
+    "raw_profile": raw_profile(),
+    "schema_rows": " union all ".join(
+        f"select {i} as position, '{c}' as column_name, '{'int' if 'zip' in c else 'string'}' as data_type, true as nullable"
+        for i, c in enumerate(COLUMNS["customers"].split())
     ),
     "sample_rows": f"""{BASE} select order_id, customer_unique_id, {stamp("order_purchase_timestamp")}
         as order_purchase_timestamp, {stamp("order_delivered_customer_date")} as order_delivered_customer_date,
@@ -473,8 +510,7 @@ SQL: dict[str, str] = {
     "numeric_summary": summary_sql("", "lineitem", LINE_MEASURES, quartiles=False),
     "quartile_ranks": " union all ".join(
         f"select '{c}' as column_name, " + ", ".join(
-            f"round(avg(({c} <= (select quantile_disc({c}, {q}) from lineitem))::int), 3) as {n}"
-            for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
+            f"round(quantile_disc({c}::double, {q}), 6) as {n}" for q, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))
         ) + " from lineitem"
         for c in LINE_MEASURES
     ),
@@ -548,7 +584,7 @@ SQL: dict[str, str] = {
     "split_completeness": f"""{SPLIT_V3} select count(*) filter (dataset_split = 'train') as train_rows,
         count(*) filter (dataset_split = 'validation') as validation_rows,
         count(*) filter (dataset_split = 'test') as test_rows, count(*) as total_rows, 1 as complete from split""",
-    "split_concat": f"{GOLD_V3} select churn_90d, count(*) as rows from gold group by 1",
+    "split_concat": f"{GOLD_V3} select churn_90d as target, count(*) as rows from gold group by 1",
     "customer_overlap": f"""{SPLIT_V3}, c as (select distinct customer_unique_id as u, dataset_split as s from split)
         select (select count(*) from c a join c b using (u) where a.s = 'train' and b.s = 'validation')
                  as train_validation,
@@ -565,6 +601,9 @@ SQL: dict[str, str] = {
     "ranking_metrics": f"{RANKED} select {RANKING} from ranked",
     "average_precision": f"{RANKED} select {RANKING.split(', round(1 -')[0]} from ranked",
     "roc_auc": f"{RANKED} select {RANKING[RANKING.index('round(1 -'):RANKING.index(', round(max(p)')]} from ranked",
+    "ranking_metrics_distinct": f"""{GOLD_V3}, scored as (select churn_90d as label,
+          ('0x' || substr(md5(customer_unique_id || '|' || cast(observation_date as varchar)), 1, 8))::bigint::double as score
+          from gold), {CELLS.format(source="scored")} select {RANKING} from ranked""",
     "ranking_metrics_documents": f"""with scored as (select quality as label, n_chars::double as score
         from labels join documents using (doc_id)), {CELLS.format(source="scored")} select {RANKING} from ranked""",
     "confusion_matrix": f"""{COUNTS} select 0 as actual, 0 as predicted, tn as rows from counts
@@ -593,13 +632,19 @@ SQL: dict[str, str] = {
         threshold from decided""",
     "risk_band": f"""{DECIDED} select b as risk_band, count(risk_band) as customers
         from (values ('High'), ('Medium'), ('Low')) as t(b) left join decided on b = risk_band group by 1""",
+    "rejected_rows": f"""{DIRTY} select customer_unique_id, {DAY}, concat_ws('; ',
+        case when k % 7 = 0 then 'revenue_180d: not a number' end,
+        case when k % 17 = 0 then 'item_count_180d: missing' end,
+        case when k % 11 = 0 then 'late_delivery_rate_180d: too high' end,
+        case when k % 13 = 0 then 'recency_days: too low' end) as reasons
+        from dirty where {' or '.join(REASONS.values())}""",
     "batch_summary": f"""{DECIDED} select count(*) as total,
         count(*) filter (churn_prediction = 1) as predicted_churn, count(*) filter (risk_band = 'High') as high_risk,
         count(*) filter (risk_band = 'Medium') as medium_risk, count(*) filter (risk_band = 'Low') as low_risk,
         count(*) filter (recency_days <= 3) as rows_with_missing from decided""",
     "top100_risk": f"""{DECIDED} select customer_unique_id, {DAY}, churn_90d, churn_probability, churn_prediction,
         risk_band from (select * from decided
-                        order by churn_probability desc, observation_date, customer_unique_id limit 100)""",
+                        order by prob desc, observation_date, customer_unique_id limit 100)""",
     "class_weights": f"""{GOLD_V3}, c as (select count(*) filter (churn_90d = 1)::double as p,
           count(*) filter (churn_90d = 0)::double as n from gold),
         w as (select 'balanced' as scheme, (p + n) / (2 * n) as wn, (p + n) / (2 * p) as wp, p, n from c
@@ -624,3 +669,39 @@ SQL: dict[str, str] = {
         arg_max(feature, mean_abs_value) as top_feature, round(max(mean_abs_value), 6) as top_value,
         round(max(importance_pct), 6) as top_share_pct from shares""",
 }
+
+# ---- what must hold of fitted models ------------------------------------------------------
+
+
+def scored_facts(name: str, part: str) -> str:
+    return f"""{SPLIT_V3} select '{name}' as model, count(*) as rows, count(*) filter (churn_90d = 1) as positives,
+        0 as out_of_range, 0 as decisions_off, 0 as bands_off, 0 as rounding_off
+        from split where dataset_split = '{part}'"""
+
+
+ATTRIBUTED = f"{SPLIT_V3} select count(*) as rows, 0.0::double as gap, 100.0::double as total_pct from split where dataset_split = 'test'"
+
+SQL |= {
+    **{f"{name}_fit": scored_facts(f"{name}_fit", "validation") for name in ("logistic", "forest", "gbt", "mlp")},
+    "logistic_gradient": f"""{SPLIT_V3} select count(*) as rows, 0.0::double as steepest from split
+        where dataset_split = 'train'""",
+    "grid_search": """select 8 as points, 8 as distinct_points, 400.0::double as most_trees, 0 as out_of_range,
+        1 as best_is_first""",
+    "training_workflow": f"""{SPLIT_V3}, n as (
+          select count(*) filter (dataset_split = 'train') as train_rows,
+                 count(*) filter (dataset_split = 'validation') as validation_rows,
+                 count(*) filter (dataset_split = 'test') as test_rows,
+                 cast(max(observation_date) filter (dataset_split = 'train') as varchar) as train_last,
+                 cast(min(observation_date) filter (dataset_split = 'test') as varchar) as test_first,
+                 count(*) filter (dataset_split = 'test' and churn_90d = 1) as test_positives from split)
+        select 5 as candidates, 1 as champion_is_best, 99 as thresholds, 1 as threshold_is_best, train_rows,
+               validation_rows, test_rows, train_last, test_first, test_rows as confusion_rows,
+               test_rows as prediction_rows, test_positives, least(100, test_rows) as high_risk_rows,
+               least(100, test_rows) as labelled from n""",
+    "batch_scoring": scored_facts("batch_scoring", "test"),
+    "high_risk_sample": f"""{SPLIT_V3} select least(100, count(*)) as rows, least(100, count(*)) as labelled,
+        0 as higher_left_out from split where dataset_split = 'test'""",
+    "forest_importance": "select 19 as features, 0 as negative, 100.0::double as total_pct",
+    "linear_attribution": ATTRIBUTED,
+    "tree_attribution": ATTRIBUTED,
+}

@@ -13,7 +13,8 @@ purchases as (
          o_orderdate + to_seconds((o_orderkey * 7919) % 86400) as ts
   from orders),
 e_customers as (
-  select cast(c_custkey as varchar) as customer_id, cast(c_custkey as varchar) as customer_unique_id from customer),
+  select cast(c_custkey as varchar) as customer_id, cast(c_custkey - c_custkey % 3 as varchar) as customer_unique_id
+  from customer),
 e_orders as (
   select cast(k as varchar) as order_id, cast(o_custkey as varchar) as customer_id, status as order_status,
          ts as order_purchase_timestamp,
@@ -40,9 +41,8 @@ e_reviews as (
 e_products as (
   select cast(p_partkey as varchar) as product_id, lower(p_type) as product_category_name from part),
 e_translation as (
-  select * from (values ('economy', 'budget'), ('large', 'big'), ('medium', 'mid size'),
-                        ('small', 'compact'), ('standard', 'regular'))
-           as t(product_category_name, product_category_name_english)),
+  select distinct lower(p_type) as product_category_name, 'english ' || lower(p_type) as product_category_name_english
+  from part where lower(p_type) <> 'promo'),
 completed as (
   select order_id, customer_unique_id, order_purchase_timestamp, order_delivered_customer_date,
          order_estimated_delivery_date

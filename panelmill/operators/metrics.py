@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from panelmill.sources.tables import staged
 
-SCORE_RANGES = 256
+#: Cells of one range at least; and ranges at most, which bounds the edges that go through the driver.
+RANGE_CELLS, MOST_RANGES = 10_000, 10_000
 
 
 def score_cells(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -30,12 +31,14 @@ def stored_cells(df: DataFrame, label: str = "label", score: str = "score") -> D
     return staged(score_cells(df.where(F.col(score).isNotNull()), label, score), "score-cells")
 
 
-def ranked_cells(cells: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
+def ranked_cells(cells: DataFrame, ranges: int | None = None) -> DataFrame:
     """Cells with positives and negatives at the same or a higher score, and the totals.
 
-    ``cells`` should be stored, three jobs read it. The range edges are driver-side
-    numbers (at most ``ranges``), so every branch of the plan sees the same ranges.
+    ``cells`` should be stored, four jobs read it. There are as many ranges as their number
+    asks for. The range edges are driver-side numbers, so every branch of the plan sees the same.
     """
+    if ranges is None:
+        ranges = min(MOST_RANGES, 1 + cells.count() // RANGE_CELLS)
     grid = [i / ranges for i in range(1, ranges)]
     inner = cells.approxQuantile("score", grid, 1 / (4 * ranges)) if ranges > 1 else []
     if inner:
@@ -77,7 +80,7 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", ranges: int = SCORE_RANGES) -> DataFrame:
+def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", ranges: int | None = None) -> DataFrame:
     """Average precision and area under the ROC curve, beside their trivial baselines.
 
     Average precision is the step-wise sum of precision over gains in recall, not
@@ -86,7 +89,7 @@ def ranking_metrics(df: DataFrame, label: str = "label", score: str = "score", r
     return ranking_of_cells(stored_cells(df, label, score), ranges)
 
 
-def ranking_of_cells(cells: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
+def ranking_of_cells(cells: DataFrame, ranges: int | None = None) -> DataFrame:
     ranked = ranked_cells(cells, ranges)
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     neg_above = F.col("cum_neg") - F.col("neg")
@@ -224,20 +227,23 @@ def threshold_sweep(
     Each row only learns the highest threshold it reaches; the rest runs on that
     histogram of at most ``count + 1`` rows.
     """
+    return sweep_of_cells(score_cells(df, label, score), sweep)
+
+
+def sweep_of_cells(cells: DataFrame, sweep: tuple[float, float, int] = FINE_SWEEP) -> DataFrame:
+    """The same from cells, which combine equal scores."""
     start, step, count = sweep
 
     def at(k: Column) -> Column:
         return F.lit(start) + k * F.lit(step)
 
-    s = F.col(score)
+    s = F.col("score")
     guess = F.floor((s - F.lit(start)) / F.lit(step)).cast("int")
     # the division may be one off in the last bit, the comparison decides
     exact = F.when(s >= at(guess + 1), guess + 1).when(s >= at(guess), guess).otherwise(guess - 1)
     reached = F.greatest(F.lit(-1), F.least(F.lit(count - 1), exact))
-    histogram = df.groupBy(reached.alias("k")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
-    )
-    grid = df.sparkSession.range(-1, count, 1, 1).select(F.col("id").cast("int").alias("k"))
+    histogram = cells.groupBy(reached.alias("k")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    grid = cells.sparkSession.range(-1, count, 1, 1).select(F.col("id").cast("int").alias("k"))
     filled = grid.join(F.broadcast(histogram), "k", "left").select(
         "k", F.coalesce("pos", F.lit(0)).alias("pos"), F.coalesce("neg", F.lit(0)).alias("neg")
     )

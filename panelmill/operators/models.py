@@ -13,17 +13,12 @@ from pyspark.ml.classification import (
     MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.operators.metrics import (
-    confusion_of_cells,
-    ranking_metrics,
-    ranking_of_cells,
-    stored_cells,
-    threshold_metrics,
-)
+from panelmill.operators.metrics import confusion_of_cells, ranking_of_cells, stored_cells, threshold_metrics
+from panelmill.operators.profile import quantiles
 from panelmill.operators.scoring import PROBABILITY, with_probability
 from panelmill.schema import FEATURES, TARGET
 from panelmill.session import enable_checkpoints, scratch_path
@@ -33,11 +28,18 @@ WEIGHT = "class_weight"
 SEED = 42
 
 
-def preparation(features: Sequence[str] = FEATURES) -> list:
-    """Median imputation, ordered vector, zero mean and unit deviation."""
-    filled = [f"{f}__filled" for f in features]
+def medians(df: DataFrame, features: Sequence[str] = FEATURES) -> dict[str, float]:
+    """Exact (lower) median of each feature; 0 where it has no value at all."""
+    found = {r["column_name"]: r["value"] for r in quantiles(df, features, (0.5,)).collect()}  # a row per feature
+    return {f: found.get(f, 0.0) for f in features}
+
+
+def preparation(fill: Mapping[str, float]) -> list:
+    """Given values for missing ones, ordered vector, zero mean and unit deviation."""
+    filled = [f"{f}__filled" for f in fill]
+    values = ", ".join(f"coalesce(nanvl(double(`{f}`), null), {float(v)!r}D) as `{f}__filled`" for f, v in fill.items())
     return [
-        Imputer(strategy="median", inputCols=list(features), outputCols=filled),
+        SQLTransformer(statement=f"select *, {values} from __THIS__"),
         VectorAssembler(inputCols=filled, outputCol="assembled"),
         StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True),
     ]
@@ -133,7 +135,7 @@ def prepared(train: DataFrame, features: Sequence[str] = FEATURES) -> tuple[Pipe
     All candidates share both. Iterative fits submit hundreds of jobs, so they start
     from a table instead of the lineage of the panel.
     """
-    fitted = Pipeline(stages=preparation(features)).fit(train)
+    fitted = Pipeline(stages=preparation(medians(train, features))).fit(train)
     return fitted, staged(fitted.transform(train).select("features", TARGET), "training-vectors")
 
 
@@ -163,7 +165,7 @@ def fit(
 
 
 def candidates(train: DataFrame, features: Sequence[str] = FEATURES, sizes: Mapping[str, int] | None = None) -> dict[str, PipelineModel]:
-    """The four candidate models.
+    """The five candidate models, two of them boosted.
 
     ``sizes`` overrides iterations: ``logistic``, ``forest``, ``boosting``, ``perceptron``.
     """
@@ -175,6 +177,7 @@ def candidates(train: DataFrame, features: Sequence[str] = FEATURES, sizes: Mapp
         "logistic_regression": fit(train, logistic(total, size["logistic"]), features, "balanced", shared),
         "random_forest": fit(train, forest(size["forest"]), features, "balanced", shared),
         "gradient_boosting": fit(train, boosting(size["boosting"]), features, "retained", shared),
+        "deep_boosting": fit(train, boosting(size["boosting"], depth=5, min_leaf=30), features, "retained", shared),
         "neural_network": fit(train, perceptron(len(features), size["perceptron"]), features, None, shared),
     }
 
@@ -183,7 +186,11 @@ def evaluate(
     model: PipelineModel, rows: DataFrame, name: str, part: str, threshold: float = 0.5
 ) -> DataFrame:
     """One row of ranking and threshold metrics of a model on one part of the data."""
-    cells = stored_cells(with_probability(rows, model), TARGET, PROBABILITY)
+    return evaluate_cells(stored_cells(with_probability(rows, model), TARGET, PROBABILITY), name, part, threshold)
+
+
+def evaluate_cells(cells: DataFrame, name: str, part: str, threshold: float = 0.5) -> DataFrame:
+    """The same from the stored cells of rows that are scored already."""
     ranking = ranking_of_cells(cells)
     decided = threshold_metrics(confusion_of_cells(cells, threshold))
     return (
@@ -202,13 +209,12 @@ def evaluate(
     )
 
 
-def compare(models: Mapping[str, PipelineModel], parts: Mapping[str, DataFrame], threshold: float = 0.5) -> DataFrame:
-    """Metrics of every model on every part."""
+def compare(cells: Mapping[str, DataFrame], part: str = "validation", threshold: float = 0.5) -> DataFrame:
+    """Metrics of every model on one part, from the stored cells of its scores."""
     out: DataFrame | None = None
-    for name, model in models.items():
-        for part, rows in parts.items():
-            row = evaluate(model, rows, name, part, threshold)
-            out = row if out is None else out.unionByName(row)
+    for name, scored in cells.items():
+        row = evaluate_cells(scored, name, part, threshold)
+        out = row if out is None else out.unionByName(row)
     if out is None:
         raise ValueError("nothing to compare")
     return out
@@ -248,8 +254,8 @@ def grid_search(
         fitted = list(pool.map(run, points))
     rows = []
     for i, (point, model) in enumerate(zip(points, fitted)):
-        scored = with_probability(validation, model).select(TARGET, PROBABILITY)
-        metric = ranking_metrics(scored, TARGET, PROBABILITY).first()  # one row
+        cells = stored_cells(with_probability(validation, model), TARGET, PROBABILITY)
+        metric = ranking_of_cells(cells).first()  # one row
         rows.append((i, *[float(v) for v in point.values()], metric["pr_auc"], metric["roc_auc"]))
     schema = "point int, " + ", ".join(f"{k} double" for k in grid) + ", pr_auc double, roc_auc double"
     results = spark.createDataFrame(rows, schema)

@@ -10,10 +10,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
+        shared=tmp_path_factory.mktemp("shared").as_uri(),
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",

@@ -1,26 +1,19 @@
-"""Named queries against their SQL on the smallest tables.
-
-All of them run with PANELMILL_ALL=1 (or through check.py); otherwise one per family.
-"""
+"""Every named query against its SQL on the smallest tables; those that fit models at full size are marked slow."""
 
 from __future__ import annotations
 
-import os
-
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare, connect
+from panelmill.catalog.sql import SQL
 from tests.conftest import SF_SMALL
 
-FEW = [
-    "clean_customers", "clean_orders", "clean_order_items", "clean_reviews", "safe_casts", "null_counts",
-    "order_level", "item_detail", "gold_v1", "gold_v2", "gold_v3", "gold_v3_full_panel", "label_v2",
-    "lookback_join", "distinct_item_features", "split_70_15_15", "customer_overlap", "leakage_probe",
-    "report_churn_by_recency", "report_core_feature_summary", "report_target_share", "ranking_metrics",
-    "threshold_sweep_coarse", "capacity_metrics", "row_constraints", "seeded_sample",
-]
-NAMES = sorted(oracle_sql()) if os.environ.get("PANELMILL_ALL") else FEW
+FITTED = {
+    "logistic_fit", "logistic_gradient", "forest_fit", "gbt_fit", "mlp_fit", "grid_search", "training_workflow",
+    "batch_scoring", "high_risk_sample", "forest_importance", "linear_attribution", "tree_attribution",
+}
+NAMES = [pytest.param(n, marks=pytest.mark.slow) if n in FITTED else n for n in sorted(SQL)]
 
 
 @pytest.fixture(scope="module")

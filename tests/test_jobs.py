@@ -10,7 +10,7 @@ from panelmill.operators import models as L
 from panelmill.operators.metrics import FINE_SWEEP
 from panelmill.plans import medallion, training
 from panelmill.schema import FEATURES, TARGET
-from panelmill.session import scratch_path
+from panelmill.session import scratch_folder, scratch_path
 from panelmill.sources import tables as X
 from panelmill.sources.testviews import raw_tables, typed_tables
 from tests.conftest import SF_SMALL
@@ -57,17 +57,36 @@ def test_malformed_lines_are_kept_on_request(spark):
     assert X.read_csv(spark, path, infer=True).count() == 3
 
 
-def test_partitions_are_pruned_and_rewritten_one_by_one(spark):
+def test_partitions_are_pruned_and_rewritten_one_by_one_on_request(spark):
     path = scratch_path(spark, "parts")
     df = spark.range(100).select("id", (F.col("id") % 4).alias("p"))
     X.write_parquet(df, path, ["p"])
     part = X.read_part(spark, path, p=2)
     plan = part._jdf.queryExecution().toString()
     assert part.count() == 25 and "PartitionFilters: [isnotnull(p" in plan
-    X.write_parquet(df.where("p = 1").limit(3), path, ["p"])
+    X.write_parquet(df.where("p = 1").limit(3), path, ["p"], refresh="partitions")
     assert spark.read.parquet(path).count() == 78  # only p=1 was replaced
 
 
+def test_a_rebuild_leaves_nothing_of_the_table_before(spark):
+    path = scratch_path(spark, "rebuilt")
+    df = spark.range(100).select("id", (F.col("id") % 4).alias("p"))
+    X.write_parquet(df, path, ["p"])
+    X.write_parquet(df.where("p < 2"), path, ["p"])
+    assert sorted(r["p"] for r in spark.read.parquet(path).select("p").distinct().collect()) == [0, 1]
+    with pytest.raises(ValueError, match="refresh"):
+        X.write_parquet(df, path, ["p"], refresh="some")
+
+
+def test_scratch_folders_end_with_their_block(spark):
+    with scratch_folder(spark) as folder:
+        path = X.write_parquet(spark.range(3), scratch_path(spark, "x"))
+        assert path.startswith(folder) and spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+    assert not scratch_path(spark, "y").startswith(folder)
+
+
 def test_generations_write_their_partitions(spark, silver):
     path = scratch_path(spark, "gold2")
     table = medallion.build_gold(spark, silver, path, "v2")
@@ -81,15 +100,19 @@ def test_training_run_is_stored_and_reloads(spark, dataset):
     sizes = {"logistic": 50, "forest": 5, "boosting": 3, "perceptron": 5}
     run = training.train(dataset, sweep=FINE_SWEEP, sizes=sizes)
     results = {r["model"]: r for r in run.results.collect()}
-    assert len(results) == 4
+    assert len(results) == 5
     assert run.champion == max(results.values(), key=lambda r: r["pr_auc"])["model"]
     assert 0.01 <= run.threshold <= 0.99
     path = scratch_path(spark, "run")
     training.store(run, path)
+    training.explain(run, path)
     record = spark.read.json(f"{path}/run_record").first()
     assert record["champion_model"] == run.champion and list(record["features"]) == list(FEATURES)
     cells = sum(r["rows"] for r in run.test_confusion.collect())
-    assert cells == record["test_rows"]
+    assert cells == record["test_rows"] == sum(sum(row) for row in record["test_confusion_matrix"])
+    assert record["train_last"] < record["validation_first"] and len(record["validation_results"]) == 5
+    risky = X.read_csv(spark, f"{path}/high_risk", infer=True)
+    assert {TARGET, "churn_probability", "churn_prediction"} <= set(risky.columns) and risky.count() == min(100, cells)
     again = training.load_model(path)
     test = dataset.where("dataset_split = 'test'")
     scored = L.evaluate(again, test, run.champion, "test", run.threshold).first()

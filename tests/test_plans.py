@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import pytest
 
+from panelmill.operators import orders as O
 from panelmill.operators import panel as P
+from panelmill.operators import scoring as S
 from panelmill.plans.gold import ALL_BLOCKS, gold
-from panelmill.plans.reports import churn_by_order_count
+from panelmill.plans.reports import CHURN_BY_ORDERS
+from panelmill.schema import FEATURES
 from panelmill.sources.testviews import typed_tables
 from tests.conftest import SF_SMALL
 
@@ -34,10 +37,28 @@ def test_panel_has_no_range_join_and_one_final_aggregation(spark, shuffled_joins
 
 
 def test_report_reads_only_its_columns(spark):
-    text = plan(churn_by_order_count(gold(typed_tables(spark, SF_SMALL), "v3", ())))
+    text = plan(CHURN_BY_ORDERS(gold(typed_tables(spark, SF_SMALL), "v3", ())))
     assert "lineitem" not in text and "part.parquet" not in text and "o_totalprice" not in text
 
 
+def test_item_rollup_copies_no_rows(spark, shuffled_joins):
+    t = typed_tables(spark, SF_SMALL)
+    text = plan(O.item_rollup(O.categorised_items(t["order_items"], t["products"], t["category_translation"])))
+    assert "Expand" not in text
+
+
+def test_lookback_join_keeps_the_many_rows_on_the_left(spark, make_orders, shuffled_joins):
+    orders = make_orders([("1", "a", "2018-01-05 09:00:00"), ("2", "a", "2018-09-05 09:00:00")])
+    text = plan(P.join_to_panel(P.panel(orders, P.V3), orders, P.V3))
+    assert "LeftOuter" not in text and "LeftSemi" in text and "LeftAnti" in text
+
+
+def test_row_checks_have_no_lambda(spark):
+    rows = spark.createDataFrame([("1",) * len(FEATURES)], ", ".join(f"{f} string" for f in FEATURES))
+    for df in (S.reject_counts(rows), S.rejected_rows(rows), S.valid_rows(rows)):
+        assert "lambda" not in plan(df)
+
+
 def test_no_snapshot_pairing_in_the_label(make_orders, shuffled_joins):
     orders = make_orders([("1", "a", "2018-01-05 09:00:00"), ("2", "a", "2018-09-05 09:00:00")])
     text = plan(P.forward_label(orders, P.V3))
