@@ -164,8 +164,10 @@ def fit(
     return PipelineModel(stages=[*preparation_model.stages, model])
 
 
-def candidates(train: DataFrame, features: Sequence[str] = FEATURES, sizes: Mapping[str, int] | None = None) -> dict[str, PipelineModel]:
-    """The five candidate models, two of them boosted.
+def candidates(
+    train: DataFrame, features: Sequence[str] = FEATURES, sizes: Mapping[str, int] | None = None, parallelism: int = 4
+) -> dict[str, PipelineModel]:
+    """The five candidate models, two of them boosted; their fits are submitted side by side.
 
     ``sizes`` overrides iterations: ``logistic``, ``forest``, ``boosting``, ``perceptron``.
     """
@@ -173,13 +175,16 @@ def candidates(train: DataFrame, features: Sequence[str] = FEATURES, sizes: Mapp
     shared = prepared(train, features)
     # one aggregate row
     total = class_weights(shared[1], "balanced").first()["total_weight"]
-    return {
-        "logistic_regression": fit(train, logistic(total, size["logistic"]), features, "balanced", shared),
-        "random_forest": fit(train, forest(size["forest"]), features, "balanced", shared),
-        "gradient_boosting": fit(train, boosting(size["boosting"]), features, "retained", shared),
-        "deep_boosting": fit(train, boosting(size["boosting"], depth=5, min_leaf=30), features, "retained", shared),
-        "neural_network": fit(train, perceptron(len(features), size["perceptron"]), features, None, shared),
+    estimators: dict[str, tuple[Estimator, str | None]] = {
+        "logistic_regression": (logistic(total, size["logistic"]), "balanced"),
+        "random_forest": (forest(size["forest"]), "balanced"),
+        "gradient_boosting": (boosting(size["boosting"]), "retained"),
+        "deep_boosting": (boosting(size["boosting"], depth=5, min_leaf=30), "retained"),
+        "neural_network": (perceptron(len(features), size["perceptron"]), None),
     }
+    with ThreadPoolExecutor(parallelism) as pool:
+        fitted = pool.map(lambda e: fit(train, e[0], features, e[1], shared), estimators.values())
+        return dict(zip(estimators, fitted, strict=True))
 
 
 def evaluate(
