@@ -44,7 +44,8 @@ def reject_reasons(
         for name, (low, high) in bounds.items()
         for flag, reason in zip(_broken(name, low, high), REASONS)
     ]
-    checked = _with_numbers(df, bounds).withColumn("reject_reasons", F.array_compact(F.array(*entries)))
+    nothing = F.array(F.lit(None).cast("string"))  # an expression of its own code, unlike a filter by function
+    checked = _with_numbers(df, bounds).withColumn("reject_reasons", F.array_except(F.array(*entries), nothing))
     return checked.drop(*[f"_v_{name}" for name in bounds])
 
 

@@ -99,3 +99,16 @@ def test_profiles(spark):
     s = {r["column_name"]: r for r in Q.numeric_summary(df, ["a", "b"]).collect()}
     assert (s["b"]["n"], s["b"]["mean"], s["b"]["p50"], s["b"]["max"]) == (3, 2.0, 2.0, 4.0)
     assert [r["data_type"] for r in Q.schema_rows(df).collect()] == ["int", "double"]
+
+
+def test_quantiles_are_exact_over_ranges_and_hot_values(spark):
+    rows = [(float(i % 7), None) for i in range(500)] + [(3.0, float(i)) for i in range(700)] + [(None, None)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(5)
+    found = {(r["column_name"], r["share"]): r["value"] for r in Q.quantiles(df, ["a", "b"], (0.0, 0.25, 0.5, 0.999, 1.0)).collect()}
+    for k, name in enumerate("ab"):
+        values = sorted(r[k] for r in rows if r[k] is not None)
+        for share in (0.0, 0.25, 0.5, 0.999, 1.0):
+            rank = max(1, -(-len(values) * share // 1))
+            assert found[name, share] == values[int(rank) - 1]
+    empty = Q.numeric_summary(df.where("false"), ["a"]).first()
+    assert empty["n"] == 0 and empty["p50"] is None
