@@ -5,20 +5,24 @@ are fewer). Every shingle has one 64-bit hash, and the k smallest of a set are i
 
 1. Documents of one set are one class, stood for by its smallest id; all else is on classes.
 2. Inverted lists of the retained values. Two sets as similar as asked for share at least
-   ``shared(k)`` of the k smallest values of their union, so they share one of the
+   ``shared`` of the k smallest values of their union, so they share one of the
    ``k - shared + 1`` rarest values of either sketch. Only those are listed: values that are
-   in very many sketches are in a list only of documents that have little else. Sets of up to
-   0.8 k shingles have sketches without loss, and there the rule is exact.
-3. A list gives pairs of a hub with each other member, not all pairs: first the smallest id, then
-   members drawn by a hash. Links found join groups; a list within one group is done.
-   Only members of a list that are in different groups after that meet in pairs.
+   in very many sketches are in a list only of documents that have little else. Where the first
+   value that two have in common stands too late in either order for enough others to follow,
+   they don't meet. Sets of up to 0.8 k shingles have sketches without loss, and there both rules
+   are exact.
+3. A list gives pairs of a hub with each other member, not all pairs: first the smallest id.
+   Links found join groups; a list within one group is done. Documents of lists that are in
+   several groups get finer sketches (``FINE``), which leave few of them in a list together; there
+   hubs are drawn by a hash, and only members still in different groups meet in pairs.
 4. Of a pair, the sketches are merged to the sketch of the union, and the share of it in both
    estimates the similarity; pairs clearly below are left out. The others are confirmed on the
    full sets.
-5. Groups are the connected components of links, by rounds of large and small stars.
+5. Groups are the connected components of links: within tasks first, then by rounds of large and
+   small stars.
 
 For sets of more than 0.8 k shingles, the chance that a link of exactly the asked similarity is
-missed by 2 or 4 is that of fewer than ``shared(k)`` hits in k draws of 0.8: below 1e-6 at k = 64.
+missed by 2 or 4 is that of fewer than ``shared`` hits in k draws of 0.8: below 1e-6 for either k.
 
 Nothing is collected; groups of copies of any size combine before a shuffle or are on the
 sides of joins that adaptive execution splits. Results that later steps start from are tables in
@@ -31,6 +35,8 @@ an id's rows are one document in a component; an empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,11 +46,14 @@ from pyspark.sql import functions as F
 from panelmill.llm.common import WordCache, map_texts, ngram_hashes, staged, utf8
 
 #: Size of a sketch, and how many values of the union's sketch a linked pair has in common at least.
-K, SHARED = 64, 32
+K, SHARED = 64, 34
+FINE, FINE_SHARED = 512, 364
 #: Similarity of a link in hundredths.
 SIMILARITY = 80
-#: Rounds of drawn hubs after the round of smallest ids.
-DRAWN_ROUNDS = 2
+#: Rounds of drawn hubs before members of different groups meet in pairs.
+DRAWN_ROUNDS = 1
+#: Links that one task joins.
+TASK_LINKS = 250_000
 
 _words = WordCache(xxhash.xxh64_intdigest)
 
@@ -80,13 +89,17 @@ def sketches(docs: DataFrame, words: int, k: int = K) -> DataFrame:
     return map_texts(rows, work, "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, sketch array<bigint>")
 
 
-def _close(a: Column, b: Column, similarity: int) -> Column:
-    """Whether two set sizes allow the similarity."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * similarity
+def _resketched(texts: DataFrame, words: int, k: int) -> DataFrame:
+    """rep, n and sketch of the k smallest values, from texts."""
+    rows = texts.select(F.col("rep").alias("doc_id"), "text")
+    return sketches(rows, words, k).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")
 
 
 def listed_values(classes: DataFrame, k: int, shared: int, similarity: int) -> DataFrame:
-    """value, rep, n: the rarest values of each sketch, as many as one in common is sure for a link."""
+    """value, rep, n, rest: the rarest values of each sketch, as many as one in common is sure for a link.
+
+    ``rest`` is how many values of the sketch come after it in the order by rarity.
+    """
     values = classes.select("rep", "n", F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     known = values.join(often, "value").groupBy("rep", "n").agg(F.collect_list(F.struct("often", "value")).alias("found"))
@@ -97,11 +110,20 @@ def listed_values(classes: DataFrame, k: int, shared: int, similarity: int) -> D
     return (
         known.withColumn("take", take)
         .where("take > 0")
-        .select("rep", "n", F.explode(F.slice(F.array_sort("found"), F.lit(1), F.col("take"))).alias("found"))
-        .select(F.col("found")["value"].alias("value"), "rep", "n")
+        .withColumn("last", F.size("found") - 1)
+        .select("rep", "n", "last", F.posexplode(F.slice(F.array_sort("found"), F.lit(1), F.col("take"))).alias("at", "found"))
+        .select(F.col("found")["value"].alias("value"), "rep", "n", (F.col("last") - F.col("at")).alias("rest"))
     )
 
 
+def _may_link(k: int, shared: int, similarity: int, n: Column, rest: Column, other_n: Column, other_rest: Column) -> Column:
+    """Whether two members of a list can be linked, if its value is the first that they have in common."""
+    sizes = F.least(n, other_n) * 100 >= F.greatest(n, other_n) * similarity
+    exact = F.ceil((n + other_n) * similarity / (100 + similarity))
+    need = F.when(F.greatest(n, other_n) <= k, exact).otherwise(F.lit(shared))
+    return sizes & (F.least(rest, other_rest) + 1 >= need)
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, shared: int, similarity: int) -> DataFrame:
     """Pairs whose sketches don't rule out a link: exact on sets that are whole in their sketches."""
     side = classes.select("rep", "n", "sketch")
@@ -143,9 +165,33 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, similarity: int)
     return map_texts(both.select("a", "b", "ta", "tb"), work, "a bigint, b bigint", text="tb")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node, component (smallest node reachable) of every node in links (a, b)."""
-    edges = staged(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of one task as (node, smallest node that they connect it with)."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            parent[max(a, b)] = min(a, b)
+    pairs = [(x, root) for x in parent if (root := find(x)) != x]
+    yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+
+def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
+    """node, component (smallest node reachable) of every node in links (a, b).
+
+    Each task joins a bounded number of links first. If there is more than one task, rounds of
+    large and small stars join what they found.
+    """
+    tasks = max(1, -(-links.count() // task_links))
+    edges = staged(links.select("a", "b").repartition(tasks).mapInArrow(_stars, "u bigint, v bigint"), "edges")
+    if tasks == 1:
+        return edges.toDF("node", "component")
     before = None
     while True:
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -163,31 +209,37 @@ def components(links: DataFrame) -> DataFrame:
 def _grouped(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Lists with the group of each member, without lists that are within one group."""
     if groups is None:
-        members = lists.withColumn("grp", F.col("rep"))
+        members = lists.select("value", "rep", "n", "rest", F.col("rep").alias("grp"))
     else:
         own = groups.toDF("rep", "component")
-        members = lists.join(own, "rep", "left").select("value", "rep", "n", F.coalesce("component", "rep").alias("grp"))
+        members = lists.drop("grp").join(own, "rep", "left")
+        members = members.select("value", "rep", "n", "rest", F.coalesce("component", "rep").alias("grp"))
     several = members.groupBy("value").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select("value")
     return staged(members.join(several, "value"), "lists")
 
 
-def _hub_pairs(members: DataFrame, by: Column, similarity: int) -> DataFrame:
-    hubs = members.groupBy("value").agg(F.min_by(F.struct("rep", "n", "grp"), by).alias("hub"))
-    met = members.join(hubs, "value").where((F.col("grp") != F.col("hub.grp")) & _close(F.col("n"), F.col("hub.n"), similarity))
+def _hub_pairs(members: DataFrame, by: Column, rule: tuple[int, int, int]) -> DataFrame:
+    hubs = members.groupBy("value").agg(F.min_by(F.struct("rep", "n", "rest", "grp"), by).alias("hub"))
+    near = _may_link(*rule, F.col("n"), F.col("rest"), F.col("hub.n"), F.col("hub.rest"))
+    met = members.join(hubs, "value").where((F.col("grp") != F.col("hub.grp")) & near)
     return met.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
 
 
-def _all_pairs(members: DataFrame, similarity: int) -> DataFrame:
+def _all_pairs(members: DataFrame, rule: tuple[int, int, int]) -> DataFrame:
     """Pairs of members of a list in different groups."""
-    other = members.select("value", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("grp").alias("grp_b"))
-    met = members.join(other, "value").where(
-        (F.col("rep") < F.col("b")) & (F.col("grp") != F.col("grp_b")) & _close(F.col("n"), F.col("nb"), similarity)
-    )
+    other = members.toDF("value", "b", "nb", "rest_b", "grp_b")
+    near = _may_link(*rule, F.col("n"), F.col("rest"), F.col("nb"), F.col("rest_b"))
+    met = members.join(other, "value").where((F.col("rep") < F.col("b")) & (F.col("grp") != F.col("grp_b")) & near)
     return met.select(F.col("rep").alias("a"), "b").distinct()
 
 
 def near_duplicates(
-    docs: DataFrame, words: int = 5, similarity: int = SIMILARITY, k: int = K, shared: int = SHARED
+    docs: DataFrame,
+    words: int = 5,
+    similarity: int = SIMILARITY,
+    k: int = K,
+    shared: int = SHARED,
+    fine: tuple[int, int] = (FINE, FINE_SHARED),
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (the document is the smallest of its component) for every row."""
     marks = staged(sketches(docs, words, k), "sketches")
@@ -210,15 +262,17 @@ def near_duplicates(
         likely = _estimated(pairs, classes, k, shared, similarity)
         return staged(_confirmed(likely, texts, words, similarity), "links")
 
-    links = links_of(_hub_pairs(members, F.col("rep"), similarity))
+    links = links_of(_hub_pairs(members, F.col("rep"), (k, shared, similarity)))
     groups = components(links)
+    contested = _grouped(members, groups).select("rep").distinct()
+    finer = staged(_resketched(texts.join(contested, "rep"), words, fine[0]), "finer")
+    members, rule = listed_values(finer, *fine, similarity), (*fine, similarity)
     for turn in range(DRAWN_ROUNDS + 1):
-        members = _grouped(members.select("value", "rep", "n"), groups)
+        members = _grouped(members, groups)
         if members.isEmpty():
             break
         drawn = turn < DRAWN_ROUNDS
-        pairs = _hub_pairs(members, F.xxhash64("value", "rep", F.lit(turn)), similarity) if drawn else _all_pairs(members, similarity)
-        new = links_of(pairs)
+        new = links_of(_hub_pairs(members, F.xxhash64("value", "rep", F.lit(turn)), rule) if drawn else _all_pairs(members, rule))
         if not new.isEmpty():
             links = links.unionAll(new)
             groups = components(links)
