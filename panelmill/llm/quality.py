@@ -113,7 +113,10 @@ def fit(rows: list) -> FactorisationMachine:
     shares = np.linspace(0, 1, BINS + 1)[1:-1]
     edges = np.quantile(stats, shares, axis=0).T if len(found) else np.zeros((len(STATISTICS), BINS - 1))
     model = FactorisationMachine(edges)
-    return model.fit([model.vector(*f) for f in found], np.array([r["y"] for r in rows], float)) if rows else model
+    if not rows:
+        model.v[:] = 0.0
+        return model
+    return model.fit([model.vector(*f) for f in found], np.array([r["y"] for r in rows], float))
 
 
 def score(docs: DataFrame, model: FactorisationMachine) -> DataFrame:

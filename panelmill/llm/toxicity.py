@@ -5,9 +5,9 @@ ends, and of itself, so a misspelt word shares most of its vectors with the righ
 words is the mean of its words; its class is a softmax over a linear layer. A text scores as its
 most toxic window, so a short passage in a long text isn't averaged away.
 
-Labels hold for texts, not windows. Training starts with windows of toxic texts drawn at random
-against windows of other texts, and then goes on with the most toxic windows of each text under
-the model so far. At the end the margin of the top window is turned into
+Labels hold for texts, not windows. Training starts with the windows of each text whose words are
+most over-represented in toxic texts, and then goes on with the most toxic windows under the model so
+far, against the top and some other windows of texts that aren't toxic. At the end the margin of the top window is turned into
 log odds of the text. As the layer is linear, the model of a task is one number for each n-gram
 bucket. Defined cases: a text without words, or null, scores as an empty window; with no row
 to learn from every score is 0.5; repeated rows get equal scores.
@@ -28,9 +28,11 @@ from panelmill.llm.common import Numbered, byte_matrix, map_texts, mix64, utf8
 SAMPLE_ROWS = 1500
 BUCKETS, DIM, WINDOW = 1 << 17, 8, 12
 SIZES = (3, 4, 5)
-EPOCHS, WARM_EPOCHS, BATCH, RATE = 10, 3, 128, 0.15
-#: Windows of a text in an epoch: before any can be told apart, and then besides the top one.
-WARM_WINDOWS, WINDOWS = 20, 5
+BATCH, RATE = 128, 0.15
+#: Epochs at least, steps at least (a small sample needs more epochs), and the share of epochs on over-represented words.
+EPOCHS, STEPS, WARM_SHARE = 10, 500, 0.5
+#: Windows of a text in an epoch: about over-represented words, and at random where it isn't toxic.
+WINDOWS = 5
 THRESHOLD = 0.3
 _MOST_WORDS = 600_000
 _LETTER = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c in b"@$!*" else 0x20 for c in range(256))
@@ -87,20 +89,30 @@ class SubwordBag:
         ids = [known.of(words) for words in texts]
         buckets, starts = subwords(list(known))
         counts = np.diff(np.r_[starts, len(buckets)])
-        seen_v, seen_l, seen_b = np.full((BUCKETS, DIM), 1e-4), np.full((DIM, 2), 1e-4), np.full(2, 1e-4)
-        for epoch in range(EPOCHS):
-            z = None if epoch < WARM_EPOCHS else self._word_part(buckets, starts, counts)
+        common, marked = word_contrast(ids, y, len(known))
+        # n-grams of words of one text only can't be told from chance: they stay out
+        used = np.zeros(BUCKETS, bool)
+        used[buckets[np.repeat(common, counts)]] = True
+        self.vectors[~used] = 0.0
+        seen_v, seen_l, seen_b = np.where(used[:, None], 1e-4, np.inf) * np.ones(DIM), np.full((DIM, 2), 1e-4), np.full(2, 1e-4)
+        epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, WINDOWS * len(ids))))
+        for epoch in range(epochs):
+            warm = epoch < WARM_SHARE * epochs
+            z = marked if warm else self._word_part(buckets, starts, counts)
             windows, labels = [], []
             for one, label in zip(ids, y, strict=True):
                 if not len(one):
                     continue
                 ends = max(1, len(one) - WINDOW + 1)
-                if z is None:
-                    cover = np.arange(rng.integers(0, min(WINDOW, ends)), ends, WINDOW)
-                    chosen = rng.permutation(cover)[:WARM_WINDOWS]
+                means = window_means(one, z)
+                if not label:
+                    more = rng.integers(0, ends, WINDOWS)
+                elif warm:
+                    about = rng.permutation(np.flatnonzero(z[one]))[:WINDOWS]
+                    more = np.clip(about - rng.integers(0, WINDOW, len(about)), 0, ends - 1)
                 else:
-                    means = window_means(one, z)
-                    chosen = np.unique(np.r_[means.argmax(), [] if label else rng.integers(0, ends, WINDOWS)].astype(int))
+                    more = []
+                chosen = np.unique(np.r_[means.argmax(), more].astype(int))
                 windows += [one[i : i + WINDOW] for i in chosen]
                 labels += [label] * len(chosen)
             labels = np.array(labels, int)
@@ -149,6 +161,17 @@ class SubwordBag:
         self.vectors[used] -= RATE * gradient / np.sqrt(seen_v[used])
 
 
+def word_contrast(ids: list[np.ndarray], y: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are in several texts, and by how many deviations each is more often in toxic ones (over 3, else 0)."""
+    own = [np.unique(one) for one in ids]
+    counts = [np.bincount(np.concatenate([np.zeros(0, np.int64), *[o for o, label in zip(own, y) if label == k]]), minlength=words) for k in (0, 1)]
+    sizes = np.maximum(1, np.bincount(y, minlength=2))
+    share = (counts[0] + counts[1]) / sizes.sum()
+    spread = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / sizes).sum())
+    marks = (counts[1] / sizes[1] - counts[0] / sizes[0]) / spread
+    return counts[0] + counts[1] > 1, np.maximum(0.0, marks - 3.0) * (counts[1] > 1)
+
+
 def window_means(at: np.ndarray, z: np.ndarray) -> np.ndarray:
     """Means over all windows of words, given by their numbers; of all words, if there are fewer.
 
