@@ -38,6 +38,9 @@ END_ID = 2
 GROUP_ROWS = 1024
 TASK_ROWS = 32_768
 _NO_IDS = np.zeros(0, np.uint32)
+# How byte-level vocabularies write bytes: printable Latin-1 as it is, the others in order from 256 on.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 
 
 def tokenizer_json() -> str:
@@ -50,13 +53,13 @@ class Tokenizer:
 
     The tokenizer drops white space and never joins across it, so a chunk is encoded when it
     is first met and then remembered, as a run of one flat array. It also lower-cases, so
-    chunks that differ in the case of A-Z are one. A chunk of printable ASCII is split here as
-    the tokenizer splits it, and its parts go straight to the model.
+    chunks that differ in the case of A-Z are one. A chunk of printable ASCII and Latin-1 letters
+    is split here as the tokenizer splits it, and its parts go straight to the model.
     """
 
-    #: Fixed value: how the tokenizer splits, for lower-case ASCII without white space.
-    PARTS = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-    PLAIN = re.compile(rb"[!-~]+")
+    #: Fixed value: how the tokenizer splits, for lower-case text of these characters.
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+    PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 
     def __init__(self, json: str, most: int = 1_000_000):
         from tokenizers import Tokenizer as Own
@@ -65,7 +68,7 @@ class Tokenizer:
         self.own.encode_special_tokens = True
         self.model = self.own.model
         self.most = most
-        self.parts = WordCache(lambda part: [t.id for t in self.model.tokenize(part.decode())])
+        self.parts = WordCache(lambda part: [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))])
         self._forget()
 
     def _forget(self) -> None:
@@ -74,9 +77,10 @@ class Tokenizer:
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _chunk(self, chunk: bytes) -> list[int]:
-        if self.PLAIN.fullmatch(chunk):
-            return [i for part in self.PARTS.findall(chunk) for i in self.parts[part]]
-        return self.own.encode(chunk.decode(), add_special_tokens=False).ids
+        text = chunk.decode()
+        if self.PLAIN.fullmatch(text):
+            return [i for part in self.PARTS.findall(text.lower()) for i in self.parts[part]]
+        return self.own.encode(text, add_special_tokens=False).ids
 
     def _learn(self) -> None:
         found = [self._chunk(c) for c in self.place.fresh]
