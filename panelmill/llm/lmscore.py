@@ -88,7 +88,8 @@ class BigramModel:
 def fit(docs: DataFrame, target_ids: DataFrame) -> tuple[BigramModel, BigramModel]:
     """(target, background) models; documents whose id is among ``target_ids`` are the target."""
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("doc_id")).distinct().withColumn("is_target", F.lit(True))
-    marked = docs.select("doc_id", "text").join(ids, "doc_id", "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
+    # both sides are shuffled at any size: the ids grow with the corpus, and small ones would be broadcast otherwise
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left").withColumn("is_target", F.coalesce("is_target", F.lit(False)))
     found = counted(marked).toArrow()
     at, background, target = (found.column(c).to_numpy() for c in ("bucket", "background", "target"))
     return BigramModel(at, target), BigramModel(at, background)
