@@ -143,3 +143,43 @@ def test_no_target_and_no_documents(spark):
     assert M.score(docs, *M.fit(docs, none)).first()["score"] > 0
     empty = documents(spark, [])
     assert M.score(empty, *M.fit(empty, none)).collect() == []
+
+
+def exact_losses(texts, target):
+    """Both models by dictionaries over the words themselves."""
+    out, split = [], [t.lower().split() for t in texts]
+    pairs_of = [list(zip([None, *w], w)) for w in split]
+    vocabulary = max(M.WORDS, len({x for w in split for x in w}))
+    for chosen in (target, range(len(texts))):
+        words, before, pairs = Counter(), Counter(), Counter()
+        for i in chosen:
+            words.update(split[i])
+            before.update(b for b, _ in pairs_of[i])
+            pairs.update(pairs_of[i])
+        n = sum(words.values())
+        loss = [[-math.log((pairs[b, w] + M.PRIOR * (words[w] + 1) / (n + vocabulary)) / (before[b] + M.PRIOR)) for b, w in p] for p in pairs_of]
+        out.append([np.mean(x) if x else None for x in loss])
+    return list(zip(*out))
+
+
+@pytest.mark.parametrize("chunk_bytes, range_keys", [(8_000_000, 1 << 21), (500_000, 60_000)])
+def test_words_and_bigrams_are_never_merged(spark, monkeypatch, chunk_bytes, range_keys):
+    """More distinct words and bigrams than any table of fixed size would hold apart."""
+    monkeypatch.setattr(M, "CHUNK_BYTES", chunk_bytes)
+    monkeypatch.setattr(M, "RANGE_KEYS", range_keys)
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 400_000, 8_000)) for _ in range(120)] + [prose(i, 50) for i in range(20)] + [""]
+    docs = documents(spark, list(enumerate(texts)))
+    ids = spark.createDataFrame([(i,) for i in range(0, 140, 3)], "doc_id long")
+    found = {r["doc_id"]: r for r in M.score(docs, *M.fit(docs, ids)).collect()}
+    assert len({w for t in texts for w in t.split()}) > M.WORDS
+    for i, expected in enumerate(exact_losses(texts, range(0, 140, 3))):
+        assert (found[i]["target_loss"], found[i]["background_loss"]) == (expected if expected[0] is None else pytest.approx(expected, rel=1e-9))
+
+
+def test_other_documents_are_scored_but_not_counted(spark):
+    docs = documents(spark, [(i, prose(i, 40)) for i in range(10)])
+    fitted = M.fit(docs, spark.createDataFrame([(1,), (2,)], "doc_id long"))
+    own = {r["doc_id"]: r["score"] for r in M.score(docs, *fitted).collect()}
+    other = {r["doc_id"]: r["score"] for r in M.score(docs.where("doc_id < 3"), *fitted).collect()}
+    assert other == {i: pytest.approx(own[i], rel=1e-9) for i in range(3)}
