@@ -9,11 +9,14 @@ Defined cases: a null or empty text has no words and is never hit; an item witho
 no windows; an item without an id is listed as ``null``; an empty benchmark hits nothing;
 repeated rows get equal results. The broadcast is bounded: a benchmark of more than
 ``block_words`` words is taken in blocks of that size, each with a scan of its own, and the
-hits of all blocks are put together by document.
+hits of all blocks are put together by document. Cutting takes the spans of all blocks on one
+text together, so that the size of a block does not change what is left.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -32,7 +35,10 @@ BLOCK_WORDS = 1_000_000
 _WORD_BYTES = bytes(
     c + 32 if 0x41 <= c <= 0x5A else c if 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A or c >= 0x80 else 0x20 for c in range(256)
 )
-_RESULT = "n_words bigint, spans array<struct<start: bigint, end: bigint>>, items array<string>"
+_SPANS = "array<struct<start: bigint, end: bigint>>"
+_RESULT = f"n_words bigint, spans {_SPANS}, items array<string>"
+#: Spans known so far, while several blocks are scanned.
+_HIT = "_hit_spans"
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -193,11 +199,70 @@ def decontaminate(
     """
     if remove not in ("spans", "documents"):
         raise ValueError(f"remove is spans or documents, not {remove}")
-    for windows in _blocks(benchmark, window, block_words):
+    blocks = _blocks(benchmark, window, block_words)
+    first, second = next(blocks), next(blocks, None)
+    if remove == "spans" and second is not None:
+        return _cut_over_blocks(docs, benchmark, window, block_words)
+    docs = _cleaned(docs, first, remove)
+    for windows in itertools.chain([second] if second is not None else [], blocks):
         docs = _cleaned(docs, windows, remove)
     return docs
 
 
+def _cut_over_blocks(docs: DataFrame, benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """As with one block: all blocks scan the same text, their spans are cut together, and what was cut is scanned again.
+
+    The texts are staged after each block, so that a task holds one block at a time.
+    """
+    clean, left = [], docs
+    while True:
+        left = left.withColumn(_HIT, F.array().cast(_SPANS))
+        for windows in _blocks(benchmark, window, block_words):
+            left = staged(_marked(left, windows), "spans")
+        clean.append(left.where(F.size(_HIT) == 0).drop(_HIT))
+        hit = left.where(F.size(_HIT) > 0)
+        if hit.isEmpty():
+            return functools.reduce(DataFrame.unionAll, clean)
+        left = staged(_cut(hit), "cut")
+
+
+def _marked(docs: DataFrame, windows: WindowSet) -> DataFrame:
+    """The spans of one more block put to those that are known."""
+    sent = docs.sparkSession.sparkContext.broadcast(windows)
+    names, kind = docs.columns, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def work():
+        def do(rows: pa.RecordBatch) -> pa.RecordBatch:
+            spans = []
+            for known, (_, found, _) in zip(rows.column(_HIT).to_pylist(), scan_texts(utf8(rows.column("text")), sent.value), strict=True):
+                spans.append([{"start": a, "end": b} for a, b in joined([*((k["start"], k["end"]) for k in known), *found])])
+            columns = {n: rows.column(n) for n in names} | {_HIT: pa.array(spans, kind)}
+            return pa.RecordBatch.from_arrays(list(columns.values()), names)
+
+        return do
+
+    return map_texts(docs, work, docs.schema)
+
+
+def _cut(docs: DataFrame) -> DataFrame:
+    """The texts without their spans; one without words goes."""
+    names = [n for n in docs.columns if n != _HIT]
+
+    def work():
+        def do(rows: pa.RecordBatch) -> pa.RecordBatch:
+            spans = [[(k["start"], k["end"]) for k in known] for known in rows.column(_HIT).to_pylist()]
+            texts = [without(t, found) for t, found in zip(utf8(rows.column("text")), spans, strict=True)]
+            decoded = [t.decode() for t in texts]
+            columns = {n: rows.column(n) for n in names} | {"text": pa.array(decoded, pa.string())}
+            if "n_chars" in names:
+                columns["n_chars"] = pa.array([len(t) for t in decoded], rows.column("n_chars").type)
+            return pa.RecordBatch.from_arrays(list(columns.values()), names).filter(pa.array([bool(words_of(t)) for t in texts], pa.bool_()))
+
+        return do
+
+    return map_texts(docs, work, docs.drop(_HIT).schema)
+
+
 def _cleaned(docs: DataFrame, windows: WindowSet, remove: str) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(windows)
     names = docs.columns

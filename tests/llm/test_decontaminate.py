@@ -76,3 +76,24 @@ def test_documents_mode_drops_only_hit_documents(spark):
     assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(clean, key=repr)
     with pytest.raises(ValueError):
         D.decontaminate(documents(spark, []), benchmark(spark, []), remove="lines")
+
+
+def test_blocks_cut_what_one_block_cuts(spark):
+    a, b = prose(60, 12).split(), prose(61, 12).split()
+    over = " ".join(f"w{i}" for i in range(1, 16)).split()
+    items = [(1, " ".join(over[:10])), (2, " ".join(over[5:])), (3, " ".join(a)), (4, " ".join(b))]
+    nested = " ".join([*a[:5], *b, *a[5:]])  # a is whole only when b is cut
+    texts = [
+        (1, "before " + " ".join(over) + " after"),
+        (2, f"x {nested} y"),
+        (3, nested),
+        (4, "untouched, Text"),
+        (5, None),
+        (5, " ".join([*b[:6], *a, *b[6:], "end"])),
+        (None, " ".join(over[:10])),
+    ]
+    docs = documents(spark, texts, extra=True)
+    one, several = (D.decontaminate(docs, benchmark(spark, items), block_words=n) for n in (D.BLOCK_WORDS, 10))
+    assert several.columns == docs.columns
+    assert rows_of(several) == rows_of(one)
+    assert {r["doc_id"]: r["text"] for r in several.collect()}[1] == "before after"
