@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelmill.session import scratch_path
@@ -141,7 +141,7 @@ def sampled(df: DataFrame, by: str, rows: int, key: str = "doc_id") -> DataFrame
     """About ``rows`` rows of each value of ``by`` (all, if there are fewer), chosen by a hash of the key.
 
     For fitting models only. The counts come from one narrow pass; the driver gets
-    one row for each value of ``by``.
+    one row for each value of ``by``. Only keys that are unique keep the bound: see ``bounded_sample``.
     """
     counts = {r[0]: r[1] for r in df.where(F.col(by).isNotNull()).groupBy(by).count().collect()}
     share = F.lit(0)
@@ -150,6 +150,27 @@ def sampled(df: DataFrame, by: str, rows: int, key: str = "doc_id") -> DataFrame
     return df.where(F.pmod(F.xxhash64(key), F.lit(2**30)) < share)
 
 
+def bounded_sample(df: DataFrame, rows: int, by: str | None = None) -> DataFrame:
+    """About ``rows`` different rows (of each value of ``by``), and never more, whatever the ids.
+
+    For fitting models only. ``df`` has doc_id and text. Rows are chosen by a hash of both, so neither
+    rows without an id nor those of a repeated id pass together; copies of a row count as one.
+    """
+    mark = df.withColumn("_mark", F.xxhash64("doc_id", "text"))
+    group = F.lit(True) if by is None else F.col(by)
+    counts = df.groupBy(group.alias("_by")).count().collect()
+    share = F.lit(0)
+    for value, n in counts:
+        share = F.when(group.eqNullSafe(F.lit(value)), F.lit(int(min(1.0, rows / n) * 2**30))).otherwise(share)
+    chosen = mark.where(F.pmod("_mark", F.lit(2**30)) < share)
+    # few rows are left: copies are put together within the tasks first, then the lowest hashes of a value stay
+    chosen = chosen.dropDuplicates(["_mark", *([by] if by else [])])
+    if by is None:
+        return chosen.orderBy("_mark").limit(rows).drop("_mark")
+    place = F.row_number().over(Window.partitionBy(by).orderBy("_mark"))
+    return chosen.withColumn("_place", place).where(F.col("_place") <= rows).drop("_mark", "_place")
+
+
 def labelled_sample(spark: SparkSession, sf_dir: str, label: str, by: int, which: int, rows: int) -> list:
     """(text, label, n_chars) of about ``rows`` rows of either label, without held-out rows.
 

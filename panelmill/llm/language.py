@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelmill.llm.common import Numbered, map_texts, mix64, sampled, strings
+from panelmill.llm.common import Numbered, bounded_sample, map_texts, mix64, strings
 
 #: Rows of each language that the piece probabilities are fitted on, about.
 SAMPLE_ROWS = 500
@@ -227,7 +227,7 @@ def fit(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> LanguageMode
     """A model of each value of ``lang`` among the rows to learn from, on about ``rows`` of each."""
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     counts: dict[str, Counter] = {}
-    for row in sampled(labelled, "lang", rows).toLocalIterator():
+    for row in bounded_sample(labelled, rows, by="lang").toLocalIterator():
         counts.setdefault(row["lang"], Counter()).update(words_of(row["text"]))
     langs = sorted(counts)
     model = LanguageModel(langs, vocabulary())

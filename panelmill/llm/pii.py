@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import map_texts, strings
+from panelmill.llm.common import bounded_sample, map_texts, strings
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents, about, whose spans the model is trained on.
@@ -307,11 +307,9 @@ def training_windows(texts: list[str], seed: int = 7) -> tuple[np.ndarray, np.nd
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Tagger | None:
-    """A tagger from the patterns' matches in about ``rows`` documents; nothing, if there are no matches."""
+    """A tagger from the patterns' matches in about ``rows`` documents, and never more; nothing, if there are no matches."""
     some = docs.select("doc_id", "text").where(F.col("text").rlike(r"[0-9.]{7}|[0-9]-[0-9]{3}|@"))
-    n = some.count()
-    chosen = some.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < int(2**30 * min(1.0, rows / max(n, 1))))
-    texts = [r["text"] for r in chosen.collect()]
+    texts = [r["text"] for r in bounded_sample(some, rows).collect()]
     if not any(base_spans(t) for t in texts):
         return None
     return Tagger().fit(*training_windows(sorted(texts))).compact()

@@ -20,9 +20,8 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from panelmill.llm.common import WordCache, map_texts, ngram_hashes, utf8
+from panelmill.llm.common import WordCache, bounded_sample, map_texts, ngram_hashes, utf8
 
 #: Documents, about, on which cost and selectivity are measured.
 SAMPLE_ROWS = 400
@@ -110,10 +109,8 @@ def measured_order(texts: list[bytes], rules: dict[str, Callable[[Text], bool]]
 
 
 def sample_texts(docs: DataFrame, rows: int = SAMPLE_ROWS) -> list[bytes]:
-    """About ``rows`` texts chosen by a hash of the id; only their share of the table depends on its size."""
-    n = docs.count()
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2**30)) < int(2**30 * min(1.0, rows / max(n, 1))))
-    return [(r[0] or "").encode() for r in chosen.select("text").collect()]
+    """About ``rows`` texts, and never more, chosen by a hash of id and text."""
+    return [(r["text"] or "").encode() for r in bounded_sample(docs.select("doc_id", "text"), rows).collect()]
 
 
 def cascade(docs: DataFrame, order: list[str] | None = None, counts: bool = False) -> DataFrame:

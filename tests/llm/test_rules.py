@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 from panelmill.llm import rules as R
+from panelmill.llm.common import bounded_sample
 from tests.llm.helpers import ODD, documents, prose, rows_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -56,3 +58,18 @@ def test_order_is_by_rejections_per_cost():
 
 def test_empty_table(spark):
     assert R.cascade(documents(spark, []), counts=True).collect() == []
+
+
+def test_samples_are_bounded_whatever_the_ids(spark):
+    """Rows without an id, rows of one id, and copies of a row do not pass together."""
+    rows = [(None, f"without an id {i}", "en") for i in range(1500)] + [(5, f"one id {i}", "de") for i in range(1500)]
+    rows += [(None, "a copy", "en")] * 500 + [(i, f"an id {i}", "en") for i in range(10, 1000)]
+    docs = documents(spark, rows)
+    texts = R.sample_texts(docs, rows=100)
+    assert 50 <= len(texts) <= 100 and len(set(texts)) == len(texts)
+    kinds = {" ".join(t.decode().split()[:2]) for t in texts}
+    assert {"without an", "one id", "an id"} <= kinds
+    by = Counter(r["lang"] for r in bounded_sample(docs, 100, by="lang").collect())
+    assert set(by) == {"en", "de"} and all(50 <= n <= 100 for n in by.values())
+    few = documents(spark, rows[:20])
+    assert len(R.sample_texts(few, rows=100)) == 20 and R.sample_texts(documents(spark, []), rows=100) == []
