@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.llm import chat, decontaminate, language, lmscore, neardup, packing, pii, quality, rules, toxicity
+from panelmill.llm import centroids, chat, decontaminate, language, lmscore, neardup, packing, pii, quality, rules, toxicity
 from panelmill.llm.common import held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     own = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], conversations.schema)
     return chat.digests(chat.format_chat(chat.text_parts(conversations.unionAll(own))))
+
+
+@query
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))

@@ -106,3 +106,47 @@ reach as (
 select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
 from split left join sizes using (doc_id) join least_of using (doc_id)
 """
+
+
+def _clustering(k: int = 40, rounds: int = 5, dimensions: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """All distances of every round, with rounds written out one after the other."""
+    steps = [
+        f"""
+vectors as (
+    select vec_id, list_transform(embedding, lambda e: floor(e::double * {scale})::bigint) as v
+    from embeddings
+    where len(embedding) = {dimensions} and len(list_filter(embedding, lambda e: isfinite(e))) = {dimensions}
+), numbered as (select vec_id, v, row_number() over () as id from vectors),
+parts as (select id, unnest(range(1, {dimensions + 1})) as d, unnest(v) as x from numbered),
+c0 as (
+    select number, unnest(range(1, {dimensions + 1})) as d, unnest(v) as x
+    from (select v, row_number() over (order by sha256('{seed}:' || vec_id::varchar), v) - 1 as number
+          from vectors where vec_id is not null order by number limit {k})
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} as (
+    select id, arg_min(number, (distance, number)) as number, min(distance) as distance
+    from (select p.id, c.number, sum((p.x - c.x) * (p.x - c.x)) as distance from parts p join c{r} c using (d) group by all)
+    group by id
+)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} as (
+    select number, d, sum(x) as s, count(*) as n from parts join a{r} using (id) group by number, d
+), c{r + 1} as (
+    select number, d, coalesce((s - ((s % n) + n) % n) // n, x)::bigint as x from c{r} left join m{r} using (number, d)
+)""")
+    return f"""
+with {",".join(steps)}, hashes as (
+    select number, sha256(string_agg(x::varchar, ',' order by d)) as centroid_sha256 from c{rounds} group by number
+)
+select vec_id, number::int as cluster, distance::bigint as distance,
+       sum(distance) over (partition by number)::bigint as cluster_inertia,
+       sum(distance) over ()::bigint as inertia, centroid_sha256
+from numbered join a{rounds} using (id) join hashes using (number)
+"""
+
+
+SQL["op13_centroid_clustering"] = _clustering()
