@@ -150,3 +150,90 @@ from numbered join a{rounds} using (id) join hashes using (number)
 
 
 SQL["op13_centroid_clustering"] = _clustering()
+
+
+def _repair() -> str:
+    """Cheapest edits by forward steps: per conversation and row the best (cost, audit, rows) of each of four states."""
+
+    def add(state: str, cost: str, letter: str, out: str = "''") -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {state}.o || {out}}}"
+
+    def insert(state: str, role: str) -> str:
+        return add(state, "5", "I", f"chr(10) || '{role}:'")
+
+    def stay(state: str, role: str) -> str:
+        """Kept as it is, or under another role."""
+        kept = add(state, "extra", "K", "chr(10) || role || ':' || text")
+        other = add(state, "1 + extra", "R", f"chr(10) || '{role}:' || text")
+        return f"case when code = '{role[0]}' then {kept} else {other} end"
+
+    never = "{'c': 1000000000::bigint, 'a': '', 'o': ''}"
+    closed = f"""least(s2, {insert("s0", "user")}, {insert("s1", "user")}, {insert("s3", "user")}) as t2"""
+    system = f"case when code = 's' then {add('s0', 'extra', 'K', 'chr(10) || role || chr(58) || text')} else {never} end"
+
+    def free(choice: str) -> str:
+        return f"case when code = 'D' then {never} else {choice} end"
+
+    return rf"""
+with recursive crc_table as (
+    select list(c order by i) as t from (
+        select i, list_reduce(range(8), lambda acc, k: case when acc & 1 = 1 then xor(acc >> 1, 3988292384) else acc >> 1 end, i::bigint) as c
+        from (select unnest(range(256)) as i)
+    )
+), filled as (
+    select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+           list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda c: ascii(c)::bigint) as mark
+    from conversations
+), marked as (
+    select conv_id, turn, role, text,
+           xor(list_reduce(mark, lambda acc, b: xor(acc >> 8, t[(xor(acc, b) & 255) + 1]), 4294967295::bigint), 4294967295) % 20 as way
+    from filled, crc_table
+), damaged as (
+    select conv_id, turn, case when way = 4 then 'user' else role end as role,
+           case when way = 1 then '' when way = 2 then translate(text, '.!?', '') else text end as text,
+           unnest(range(case when way = 3 then 2 else 1 end)) as copy
+    from marked where way <> 0
+), ids as (select conv_id, row_number() over () as id from (select distinct conv_id from conversations)),
+placed as (
+    select id, turn, role, text, row_number() over (partition by id order by turn nulls first, role, text) as i,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as body
+    from damaged d join ids on d.conv_id is not distinct from ids.conv_id
+), judged as (
+    select *, case when body = '' then 'blank'
+                   when row_number() over (partition by id, role, text order by i) > 1 then 'duplicate'
+                   when right(body, 1) not in ('.', '!', '?') then 'truncated' end as fault,
+           left(role, 1) || lead(left(role, 1)) over (partition by id order by i) as pair
+    from placed
+), coded as (
+    select id, i, role, text, case when fault = 'truncated' then 5 else 0 end as extra,
+           case when fault in ('blank', 'duplicate') then 'D' else left(role, 1) end as code
+    from judged
+), facts as (
+    select id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (where fault = 'blank') as blank,
+           count(*) filter (where fault = 'duplicate') as duplicate, count(*) filter (where fault = 'truncated') as truncated,
+           count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal, max(i) as n
+    from judged group by id
+), steps as (
+    select id, 0::bigint as i, {{'c': 0::bigint, 'a': '', 'o': ''}} as s0, {never} as s1, {never} as s2, {never} as s3 from ids
+    union all
+    select id, i, {add("s0", "2", "D")}, least({add("s1", "2", "D")}, {system}),
+           least({add("t2", "2", "D")}, {free(f"least({stay('s0', 'user')}, {stay('s1', 'user')}, {stay('t3', 'user')})")}),
+           least({add("t3", "2", "D")}, {free(stay("t2", "assistant"))})
+    from (
+        select *, least(s3, {insert("t2", "assistant")}) as t3 from (
+            select s.id, c.i, s0, s1, s3, role, text, extra, code, {closed}
+            from steps s join coded c on s.id = c.id and c.i = s.i + 1
+        )
+    )
+), ended as (
+    select id, least(s0, s3, {insert("t2", "assistant")}) as best
+    from (select id, s0, s3, {closed} from steps join ids using (id) left join facts using (id) where i = coalesce(n, 0))
+)
+select conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, best.c::bigint as cost, best.a as audit,
+       sha256(best.o[2:]) as repaired_sha256
+from ids join ended using (id) left join facts using (id)
+"""
+
+
+SQL["op12_conversation_repair"] = _repair()
