@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelmill.llm import centroids, chat, decontaminate, language, lmscore, neardup, packing, pii, quality, repair, rules, toxicity
+from panelmill.llm import centroids, chat, decontaminate, language, lmscore, neardup, packing, pii, quality, repair, rules, simhash, toxicity
 from panelmill.llm.common import held_out, labelled_sample, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chat(chat.text_parts(conversations.unionAll(own))))
 
 
+@query
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audited(table(spark, sf_dir, "conversations"))
