@@ -49,6 +49,8 @@ RUN = 65_536
 PAIRS_EACH, ROUNDS = 4, 6
 # Fixed value: the generator polynomial of the binary Golay code.
 _GENERATOR = 0b101011100011
+#: Fingerprints whose keys one task makes.
+TASK_FINGERPRINTS = 16_384
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -138,7 +140,7 @@ def keys_of(fps: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def keyed(classes: DataFrame) -> DataFrame:
-    """key, fp and probe of every key of every fingerprint."""
+    """key, fp and probe of every key of every fingerprint; tasks are cut by the number of fingerprints."""
 
     def run(batches):
         patterns = error_patterns()
@@ -149,7 +151,8 @@ def keyed(classes: DataFrame) -> DataFrame:
                 row, key, probe = keys_of(part.view(np.uint64), patterns)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row]), pa.array(probe)], ["key", "fp", "probe"])
 
-    return classes.select("fp").mapInArrow(run, "key bigint, fp bigint, probe boolean")
+    dealt = classes.select("fp").repartition(max(1, -(-classes.count() // TASK_FINGERPRINTS)))
+    return dealt.mapInArrow(run, "key bigint, fp bigint, probe boolean")
 
 
 def _near(a: str, b: str):
@@ -167,6 +170,15 @@ def _open_lists(members: DataFrame, groups: DataFrame) -> DataFrame:
     return staged(own.join(several, "key"), "open")
 
 
+def _open_pairs(members: DataFrame) -> tuple[int, int]:
+    """How many members open lists have, and how many pairs of a probe and a member of another group."""
+    by_group = members.groupBy("key", "grp").agg(F.count("*").alias("n"), F.count_if("probe").alias("p"))
+    sums = [F.sum(c).alias(c) for c in ("n", "p")]
+    lists = by_group.withColumn("own", F.col("n") * F.col("p")).groupBy("key").agg(*sums, F.sum("own").alias("own"))
+    found = lists.agg(F.sum("n"), F.sum(F.col("n") * F.col("p") - F.col("own"))).first()
+    return found[0] or 0, found[1] or 0
+
+
 def links(classes: DataFrame, pairs_each: int = PAIRS_EACH, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) that connect all fingerprints of at most four differing bits, and the groups of those linked."""
     keys = keyed(classes)
@@ -177,15 +189,16 @@ def links(classes: DataFrame, pairs_each: int = PAIRS_EACH, rounds: int = ROUNDS
     members = met.select("key", "fp", "probe").unionAll(met.select("key", F.col("hub").alias("fp"), F.lit(True)).distinct())
     for turn in range(rounds + 1):
         members = _open_lists(members, groups)
-        size = members.groupBy("key").agg(F.count("*").alias("n"), F.count_if("probe").alias("p")).agg(F.sum("n"), F.sum(F.col("n") * F.col("p"))).first()
-        if not size[0]:
+        n, pairs = _open_pairs(members)
+        if not pairs:
             break
-        if last := turn == rounds or size[1] <= pairs_each * size[0]:
+        if last := turn == rounds or pairs <= pairs_each * n:
             hubs = members.where("probe").select("key", F.col("fp").alias("hub"), F.col("grp").alias("own"))
         else:
             drawn = F.min_by(F.struct("fp", "grp"), F.xxhash64("key", "fp", F.lit(turn)))
             hubs = members.where("probe").groupBy("key").agg(drawn.alias("h")).select("key", F.col("h.fp").alias("hub"), F.col("h.grp").alias("own"))
-        new = _linked(members.join(hubs, "key").where("grp <> own"))
+        # the distance is part of the join: only links leave it
+        new = _linked(members.join(hubs, "key").where((F.col("grp") != F.col("own")) & _near("fp", "hub")))
         if not new.isEmpty():
             found = found.unionAll(new)
             groups = components(found)
