@@ -14,7 +14,8 @@ are fewer). Every shingle has one 64-bit hash, and the k smallest of a set are i
 3. A list gives pairs of a hub with each other member, not all pairs: first the smallest id.
    Links found join groups; a list within one group is done. Documents of lists that are in
    several groups get finer sketches (``FINE``), which leave few of them in a list together; there
-   hubs are drawn by a hash, and only members still in different groups meet in pairs.
+   hubs are drawn by a hash, and only members still in different groups meet in pairs, each pair in
+   the first list that both are in and in no other.
 4. Of a pair, the sketches are merged to the sketch of the union, and the share of it in both
    estimates the similarity; pairs clearly below are left out. The others are confirmed on the
    full sets.
@@ -95,10 +96,11 @@ def _resketched(texts: DataFrame, words: int, k: int) -> DataFrame:
     return sketches(rows, words, k).select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sketch")
 
 
-def listed_values(classes: DataFrame, k: int, shared: int, similarity: int) -> DataFrame:
+def listed_values(classes: DataFrame, k: int, shared: int, similarity: int, before: bool = False) -> DataFrame:
     """value, rep, n, rest: the rarest values of each sketch, as many as one in common is sure for a link.
 
-    ``rest`` is how many values of the sketch come after it in the order by rarity.
+    ``rest`` is how many values of the sketch come after it in the order by rarity; with ``before``
+    there are also the listed values that come before it.
     """
     values = classes.select("rep", "n", F.explode("sketch").alias("value"))
     often = values.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
@@ -107,12 +109,14 @@ def listed_values(classes: DataFrame, k: int, shared: int, similarity: int) -> D
     common = F.when(F.col("n") * 100 <= k * similarity, F.ceil(F.col("n") * similarity / 100)).otherwise(F.lit(shared))
     # values of this sketch alone come first in the order, and link nothing
     take = (size - common + 1 - (size - F.size("found"))).cast("int")
+    earlier = [F.slice(F.col("listed")["value"], F.lit(1), F.col("at")).alias("before")] if before else []
     return (
         known.withColumn("take", take)
         .where("take > 0")
         .withColumn("last", F.size("found") - 1)
-        .select("rep", "n", "last", F.posexplode(F.slice(F.array_sort("found"), F.lit(1), F.col("take"))).alias("at", "found"))
-        .select(F.col("found")["value"].alias("value"), "rep", "n", (F.col("last") - F.col("at")).alias("rest"))
+        .withColumn("listed", F.slice(F.array_sort("found"), F.lit(1), F.greatest("take", F.lit(0))))
+        .select("rep", "n", "last", "listed", F.posexplode(F.col("listed")["value"]).alias("at", "value"))
+        .select("value", "rep", "n", (F.col("last") - F.col("at")).alias("rest"), *earlier)
     )
 
 
@@ -208,12 +212,12 @@ def components(links: DataFrame, task_links: int = TASK_LINKS) -> DataFrame:
 
 def _grouped(lists: DataFrame, groups: DataFrame | None) -> DataFrame:
     """Lists with the group of each member, without lists that are within one group."""
+    lists = lists.drop("grp")
     if groups is None:
-        members = lists.select("value", "rep", "n", "rest", F.col("rep").alias("grp"))
+        members = lists.select(*lists.columns, F.col("rep").alias("grp"))
     else:
-        own = groups.toDF("rep", "component")
-        members = lists.drop("grp").join(own, "rep", "left")
-        members = members.select("value", "rep", "n", "rest", F.coalesce("component", "rep").alias("grp"))
+        members = lists.join(groups.toDF("rep", "component"), "rep", "left")
+        members = members.select(*lists.columns, F.coalesce("component", "rep").alias("grp"))
     several = members.groupBy("value").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select("value")
     return staged(members.join(several, "value"), "lists")
 
@@ -226,11 +230,14 @@ def _hub_pairs(members: DataFrame, by: Column, rule: tuple[int, int, int]) -> Da
 
 
 def _all_pairs(members: DataFrame, rule: tuple[int, int, int]) -> DataFrame:
-    """Pairs of members of a list in different groups."""
-    other = members.toDF("value", "b", "nb", "rest_b", "grp_b")
+    """Pairs of members of a list in different groups, each in the first list that both are in."""
+    columns = ["value", "rep", "n", "rest", "before", "grp"]
+    members = members.select(*columns)
+    other = members.toDF("value", "b", "nb", "rest_b", "before_b", "grp_b")
     near = _may_link(*rule, F.col("n"), F.col("rest"), F.col("nb"), F.col("rest_b"))
-    met = members.join(other, "value").where((F.col("rep") < F.col("b")) & (F.col("grp") != F.col("grp_b")) & near)
-    return met.select(F.col("rep").alias("a"), "b").distinct()
+    apart = (F.col("rep") < F.col("b")) & (F.col("grp") != F.col("grp_b"))
+    met = members.join(other, "value").where(apart & near & ~F.arrays_overlap("before", "before_b"))
+    return met.select(F.col("rep").alias("a"), "b")
 
 
 def near_duplicates(
@@ -266,7 +273,7 @@ def near_duplicates(
     groups = components(links)
     contested = _grouped(members, groups).select("rep").distinct()
     finer = staged(_resketched(texts.join(contested, "rep"), words, fine[0]), "finer")
-    members, rule = listed_values(finer, *fine, similarity), (*fine, similarity)
+    members, rule = listed_values(finer, *fine, similarity, before=True), (*fine, similarity)
     for turn in range(DRAWN_ROUNDS + 1):
         members = _grouped(members, groups)
         if members.isEmpty():
@@ -285,12 +292,37 @@ def near_duplicates(
     )
 
 
+def _apart(docs: DataFrame) -> DataFrame | None:
+    """doc_id, text_hash and a number of its own below all ids, for every further text of a repeated id."""
+    texts = docs.where("doc_id is not null").select("doc_id", "text_hash").distinct()
+    first = texts.groupBy("doc_id").agg(F.min("text_hash").alias("first"), F.count("*").alias("n")).where("n > 1")
+    further = texts.join(first.select("doc_id", "first"), "doc_id").where("text_hash <> first")
+    further = staged(further.select("doc_id", "text_hash", F.monotonically_increasing_id().alias("at")), "further")
+    least = further.agg(F.min("doc_id").alias("least")).first()["least"]
+    if least is None:
+        return None
+    least = min(0, docs.agg(F.min("doc_id").alias("least")).first()["least"])
+    return further.select("doc_id", "text_hash", (F.lit(least - 1) - F.col("at")).alias("own"))
+
+
 def deduplicated(docs: DataFrame, words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """The documents without those that are near copies of one with a smaller id; of rows with one id, one.
+    """The documents without those that are near copies of one with a smaller id.
 
-    Rows without an id stay.
+    Of equal rows one stays. Different texts of one id are documents of their own: each is judged by
+    its text, and only near copies go. Rows without an id stay.
     """
-    found = near_duplicates(docs, words, similarity)
-    kept = found.where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    columns = docs.columns
+    hashed = docs.withColumn("_th", F.xxhash64("text"))
+    names = hashed.select("doc_id", F.col("_th").alias("text_hash"), "text")
+    further = _apart(names)
+    if further is None:
+        found = near_duplicates(docs, words, similarity).where("kept and doc_id is not null").select("doc_id").distinct()
+        named = hashed.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    else:
+        own = names.where("doc_id is not null").join(further, ["doc_id", "text_hash"], "left").withColumn("own", F.coalesce("own", "doc_id"))
+        found = near_duplicates(own.select(F.col("own").alias("doc_id"), "text"), words, similarity).distinct()
+        of = own.select("own", "doc_id", "text_hash").distinct().join(found.select(F.col("doc_id").alias("own"), "component_id"), "own")
+        stay = of.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("s")).select("s.*")
+        stay = stay.select("doc_id", F.col("text_hash").alias("_th"))
+        named = hashed.join(stay, ["doc_id", "_th"], "left_semi").dropDuplicates(["doc_id", "_th"])
+    return named.select(*columns).unionByName(docs.where("doc_id is null"))

@@ -106,3 +106,35 @@ def test_one_document_of_each_group_stays(spark):
 def test_empty_table(spark):
     assert N.near_duplicates(documents(spark, [])).collect() == []
     assert N.deduplicated(documents(spark, [(1, None), (2, "")])).count() == 2
+
+
+def test_texts_of_a_repeated_id_are_judged_each(spark):
+    a, b = prose(1, 80), prose(2, 80)
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, edited(b, 1, 1)), (8, "tiny"), (8, ""), (8, None), (None, a), (None, a)]
+    kept = N.deduplicated(documents(spark, rows), words=5)
+    assert rows_of(kept.select("doc_id", "text")) == sorted(
+        [(3, a), (5, b), (8, "tiny"), (8, ""), (8, None), (None, a), (None, a)], key=repr
+    )
+
+
+def test_pairs_of_open_lists_meet_once(spark, monkeypatch):
+    """A line that a third of the texts have, and close texts that are not linked: pairs are far fewer than in all lists."""
+    line = prose(50, 30)
+    base = prose(51, 200)
+    rows = [(i, f"{prose(400 + i, 70)} {line}") for i in range(60)]
+    rows += [(200 + i, edited(base, 3, i)) for i in range(50)]  # most pairs fall just short of a link
+    rows += [(300 + i, prose(600 + i, 90)) for i in range(60)]
+    made: list[int] = []
+    pairs_of = N._all_pairs
+
+    def counted(members, rule):
+        pairs = pairs_of(members, rule)
+        seen = pairs.collect()
+        made.append(len(seen))
+        assert len(set(seen)) == len(seen)
+        return pairs
+
+    monkeypatch.setattr(N, "_all_pairs", counted)
+    monkeypatch.setattr(N, "DRAWN_ROUNDS", 0)
+    assert rows_of(N.near_duplicates(documents(spark, rows), words=4)) == brute(rows, 4)
+    assert made and made[0] <= 50 * 49 / 2
