@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelmill.llm.common import small_batches
+
 PARTS = "array<struct<kind: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>>"
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
 _PLACEHOLDER = re.compile(r"<\|(?:image|audio|document)_\d+\|>")
@@ -148,7 +150,7 @@ def format_chat(messages: DataFrame, loss_roles: tuple[str, ...] = ("assistant",
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
-    messages.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    small_batches(messages.sparkSession)
     arrow = to_arrow_schema(_parse_datatype_string(_SCHEMA))
     return _sorted_turns(turns, "turn", "role", F.to_json("parts")).mapInArrow(run, _SCHEMA)
 

@@ -19,8 +19,8 @@ from panelmill.session import scratch_path
 
 #: Text bytes that are worked on at once in a task.
 SLICE_BYTES = 4_000_000
-#: Words a task remembers before it starts anew.
-CACHE_WORDS = 400_000
+#: Bytes that a worker remembers of words before it starts anew: the words, and about so many for each entry.
+CACHE_BYTES, ENTRY_BYTES = 48_000_000, 200
 #: Rows of one Arrow batch between Spark and Python.
 BATCH_ROWS = 500
 
@@ -50,13 +50,32 @@ def slices(batch: pa.RecordBatch, column: str | int, most: int = SLICE_BYTES) ->
         yield batch.slice(start)
 
 
+_FORGET: list[Callable[[], None]] = []
+_owner: str | None = None
+
+
+def remembered(clear: Callable[[], None]) -> None:
+    """``clear`` is called when a worker goes on with another operator, so workers hold the words of one only."""
+    _FORGET.append(clear)
+
+
+def enter(owner: str) -> None:
+    global _owner
+    if _owner != owner:
+        for clear in _FORGET:
+            clear()
+        _owner = owner
+
+
 def map_texts(
     df: DataFrame, work: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str, text: str = "text"
 ) -> DataFrame:
     """Run ``work()`` once in each task, and what it returns on each slice of rows."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    small_batches(df.sparkSession)
+    owner = work.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(owner)
         do = work()
         for batch in batches:
             for part in slices(batch, text):
@@ -65,6 +84,16 @@ def map_texts(
     return df.mapInArrow(run, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows; a session that asks for smaller ones keeps them.
+
+    Spark has this as a setting of the session only, and reads it when a plan runs.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """Texts as bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -75,15 +104,17 @@ def strings(column: pa.Array) -> list[str]:
 
 
 class WordCache(dict):
-    """A value for each word, made when the word is first met; forgotten when too many are held."""
+    """A value for each word, made when the word is first met; forgotten when they take too many bytes."""
 
-    def __init__(self, make: Callable, most: int = CACHE_WORDS):
+    def __init__(self, make: Callable, most: int = CACHE_BYTES):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.held = make, most, 0
 
     def __missing__(self, word):
-        if len(self) >= self.most:
+        self.held += len(word) + ENTRY_BYTES
+        if self.held > self.most:
             self.clear()
+            self.held = len(word) + ENTRY_BYTES
         value = self[word] = self.make(word)
         return value
 
@@ -92,15 +123,17 @@ class WordCache(dict):
 
 
 class Numbered(dict):
-    """Words numbered as they are met; ``fresh`` has those that nothing is known of yet."""
+    """Words numbered as they are met; ``fresh`` has those that nothing is known of yet, ``held`` the bytes of all."""
 
     def __init__(self):
         super().__init__()
         self.fresh: list = []
+        self.held = 0
 
     def __missing__(self, word) -> int:
         self[word] = n = len(self)
         self.fresh.append(word)
+        self.held += len(word) + ENTRY_BYTES
         return n
 
     def of(self, words: Sequence) -> np.ndarray:
@@ -172,17 +205,19 @@ def bounded_sample(df: DataFrame, rows: int, by: str | None = None) -> DataFrame
 
 
 def labelled_sample(spark: SparkSession, sf_dir: str, label: str, by: int, which: int, rows: int) -> list:
-    """(text, label, n_chars) of about ``rows`` rows of either label, without held-out rows.
+    """(text, label, n_chars) of about ``rows`` rows of either label, and never more, without held-out rows.
 
-    The sampled ids are few by construction, so they can be broadcast.
+    The sampled ids are few by construction, so they can be broadcast; the rows that have them are bounded
+    again, as ids may repeat in ``documents``. An id with both labels is left out.
     """
     labels = (
         table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("y")).where(~held_out(by, which) & F.col("y").isin(0, 1))
     )
-    chosen = sampled(labels.groupBy("doc_id").agg(F.max("y").alias("y")), "y", rows)
+    clear = labels.groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("_y")).where("y = _y").drop("_y")
+    chosen = sampled(clear, "y", rows)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     found = docs.join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
-    return sorted(found.collect(), key=lambda r: (r["doc_id"], r["text"]))
+    return sorted(bounded_sample(found, rows, by="y").collect(), key=lambda r: (r["doc_id"], r["text"]))
 
 
 def byte_matrix(words: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -160,6 +160,17 @@ def _scanned(docs: DataFrame, windows: WindowSet) -> DataFrame:
     return map_texts(docs, work, f"doc_id bigint, row_hash bigint, {_RESULT}")
 
 
+# Runs of all blocks as ``joined`` puts them together: in order, those that meet are one.
+_JOIN_SPANS = """
+aggregate(
+    array_sort(flatten(collect_list(spans))), cast(array() as array<struct<start: bigint, end: bigint>>),
+    (out, s) -> if(size(out) > 0 and s.start <= element_at(out, -1).end,
+        concat(slice(out, 1, size(out) - 1),
+               array(named_struct('start', element_at(out, -1).start, 'end', greatest(element_at(out, -1).end, s.end)))),
+        concat(out, array(s))))
+"""
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, spans (hit runs of words), items (ids found, as sorted text) of every document."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("row_hash"), "text")
@@ -173,13 +184,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_word
         every = every.unionAll(x)
     merged = every.groupBy("doc_id", "row_hash").agg(
         F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
+        F.expr(_JOIN_SPANS).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         (F.count("*") / len(parts)).cast("int").alias("copies"),
     )
-    covered = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["end"] - 1))))
     return merged.select(
-        "doc_id", "n_words", F.size(covered).cast("long").alias("n_hit"), "spans", "items",
+        "doc_id", "n_words", n_hit, "spans", "items",
         F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"),
     ).drop("_copy")
 
@@ -205,7 +215,7 @@ def decontaminate(
         return _cut_over_blocks(docs, benchmark, window, block_words)
     docs = _cleaned(docs, first, remove)
     for windows in itertools.chain([second] if second is not None else [], blocks):
-        docs = _cleaned(docs, windows, remove)
+        docs = _cleaned(staged(docs, "cleaned"), windows, remove)  # a task holds one block at a time
     return docs
 
 

@@ -26,19 +26,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelmill.llm.common import Numbered, bounded_sample, map_texts, mix64, strings
+from panelmill.llm.common import CACHE_BYTES, Numbered, bounded_sample, map_texts, mix64, remembered, strings
 
 #: Rows of each language that the piece probabilities are fitted on, about.
 SAMPLE_ROWS = 500
 ROUNDS = 4
 UNKNOWN = 1e-7
-#: Pieces longer than this are left out of the vocabulary.
-LONGEST = 8
+#: Words are learnt from in runs of at most so many letters.
+LEARNT_LETTERS = 256
 UNDECIDED = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _START = "▁"  # how the vocabulary writes the start of a word
-_MOST_WORDS = 500_000
 _SLOTS = 20
 
 
@@ -55,15 +54,14 @@ def vocabulary(path: str | None = None) -> list[str]:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path or public_tokenizers.path("piece_bpe_32k.model"))
     pieces = {model.id_to_piece(i) for i in range(model.get_piece_size())}
-    kept = {p for p in pieces if len(p) <= LONGEST and (p == _START or (x := p.removeprefix(_START)).isalpha() and x == x.lower())}
-    return sorted(kept)
+    return sorted(p for p in pieces if p == _START or (x := p.removeprefix(_START)).isalpha() and x == x.lower())
 
 
 class PieceTable:
     """Numbers of pieces by a hash of their characters; 0 is no piece, 1 a single unknown letter."""
 
     def __init__(self, pieces: list[str]):
-        self.size = len(pieces) + 2
+        self.size, self.longest = len(pieces) + 2, max(map(len, pieces), default=1)
         codes = [np.frombuffer(p.encode("utf-32-le"), np.uint32) for p in pieces]
         hashes = np.array([self._whole(c) for c in codes], np.uint64)
         self.first, self.second = (np.zeros(1 << _SLOTS, np.int32) for _ in range(2))
@@ -95,7 +93,7 @@ class PieceTable:
     def numbers(self, words: np.ndarray) -> list[np.ndarray]:
         """For each length, the number of the piece at each start, of words of one length as rows of code points."""
         out, h = [], np.zeros(words.shape, np.uint64)
-        for n in range(1, min(LONGEST, words.shape[1]) + 1):
+        for n in range(1, min(self.longest, words.shape[1]) + 1):
             h = self.step(h[:, : words.shape[1] - n + 1], words[:, n - 1 :])
             spread = mix64(h)
             a = self.first[(spread >> np.uint64(64 - _SLOTS)).astype(np.int64)]
@@ -137,6 +135,15 @@ def forward(numbers: list[np.ndarray], length: int, p: np.ndarray) -> tuple[np.n
     return alpha, scale
 
 
+def _in_runs(counts: Counter) -> Counter:
+    """Counted words, the longest ones cut into runs of letters."""
+    out: Counter = Counter()
+    for word, n in counts.items():
+        for at in range(0, len(word), LEARNT_LETTERS):
+            out[word[at : at + LEARNT_LETTERS]] += n
+    return out
+
+
 class LanguageModel:
     """Piece probabilities of each language."""
 
@@ -147,19 +154,20 @@ class LanguageModel:
 
     def fit(self, counts: list[Counter], rounds: int = ROUNDS) -> LanguageModel:
         """Expectation maximisation over all segmentations of the counted words of each language."""
-        words = sorted(w for w in set().union(*counts) if len(w) < 24)
+        counts = [_in_runs(c) for c in counts]
+        words = sorted(set().union(*counts))
         weight = np.array([[c[w] for c in counts] for w in words], float).reshape(len(words), len(self.langs))
         for _ in range(rounds):
             expected = np.zeros_like(self.p)
             for where, codes in _by_length(words):
                 numbers, length, w = self.table.numbers(codes), codes.shape[1], weight[where]
-                alpha, _ = forward(numbers, length, self.p)
+                alpha, scale = forward(numbers, length, self.p)
                 beta = np.zeros_like(alpha)
                 beta[length] = w / alpha[length]
                 for j in range(length - 1, -1, -1):
                     for n in range(1, min(len(numbers), length - j) + 1):
                         number = numbers[n - 1][:, j]
-                        share = self.p[number] * beta[j + n]
+                        share = self.p[number] * beta[j + n] * (np.exp(scale[j] - scale[j + n]) if j + n >= 24 else 1.0)
                         beta[j] += share
                         for k in range(len(self.langs)):
                             expected[:, k] += np.bincount(number, share[:, k] * alpha[j][:, k], self.table.size)
@@ -187,7 +195,7 @@ class LanguageModel:
         for j in range(1, length + 1):
             total = sum(last[-n] * self.p[numbers[n - 1][:, j - n]] for n in range(1, min(len(numbers), j, len(last)) + 1))
             log += np.log(total)
-            last = [x / total for x in last[-LONGEST + 1 :]] + [np.ones_like(total)]
+            last = [x / total for x in last[-self.table.longest + 1 :]] + [np.ones_like(total)]
         return log
 
 
@@ -202,7 +210,7 @@ class Scorer:
         self.words, self.known = Numbered(), np.zeros((0, len(self.model.langs)), np.float32)
 
     def __call__(self, texts: list[str]) -> list[tuple[str, float]]:
-        if len(self.words) > _MOST_WORDS:
+        if self.words.held > CACHE_BYTES:
             self._forget()
         places = [self.words.of(words_of(t)) for t in texts]
         if self.words.fresh:
@@ -223,6 +231,9 @@ def _scorer(model: LanguageModel) -> Scorer:
     return Scorer(model)
 
 
+remembered(_scorer.cache_clear)
+
+
 def fit(docs: DataFrame, learn: Column, rows: int = SAMPLE_ROWS) -> LanguageModel:
     """A model of each value of ``lang`` among the rows to learn from, on about ``rows`` of each."""
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")

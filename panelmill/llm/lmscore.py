@@ -16,7 +16,7 @@ a frequent one is no heavier than others.
 
 Defined cases: a null or empty text has no words and null losses and score; with no target
 document both models are the uninformed one on the target side; repeated rows are counted each.
-The vocabulary has ``WORDS`` words, or as many as the corpus has where those are more.
+The vocabulary has the words of the corpus and one for all others.
 """
 
 from __future__ import annotations
@@ -32,16 +32,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import BATCH_ROWS, WordCache, mix64, slices, staged, utf8
+from panelmill.llm.common import WordCache, enter, mix64, remembered, slices, small_batches, staged, utf8
 
-#: Least size of the vocabulary.
-WORDS = 1 << 18
+#: Weight of the unigrams against the bigrams of a word.
 PRIOR = 20.0
 #: Text bytes in a chunk, and keys asked for in a range.
 CHUNK_BYTES, RANGE_KEYS = 16_000_000, 1 << 21
 #: Rows of an Arrow batch of chunks, questions or answers.
 CHUNK_ROWS = 16
 _words = WordCache(xxhash.xxh64_intdigest)
+remembered(_words.clear)
 _START, _BEFORE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _CHUNK = "chunk bigint, counted boolean, doc_ids array<bigint>, lengths array<bigint>, target array<boolean>, words binary, tokens binary, n_keys bigint"
 _ANSWER = "chunk bigint, part int, counts array<binary>, totals array<bigint>"
@@ -100,6 +100,7 @@ def _encoded(docs: DataFrame, counted: bool) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], list(row))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter(__name__)
         number, held, size = TaskContext.get().partitionId() << 33 | (not counted) << 32, [], 0
         for batch in batches:
             for rows in slices(batch, "text"):
@@ -112,7 +113,7 @@ def _encoded(docs: DataFrame, counted: bool) -> DataFrame:
         if held:
             yield chunk(number, held)
 
-    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    small_batches(docs.sparkSession)
     return staged(docs.select("doc_id", "text", "is_target").mapInArrow(run, _CHUNK), "lm-chunks")
 
 
@@ -189,7 +190,7 @@ def _losses(row: dict, answers: list[dict]) -> list[np.ndarray]:
     doc, out = np.repeat(np.arange(len(lengths)), lengths), []
     for m in (1, 0):
         word, before, pair = (c[m] for c in counts)
-        unigram = PRIOR * (word + 1) / (n[m] + max(WORDS, distinct))
+        unigram = PRIOR * (word + 1) / (n[m] + distinct + 1)
         each = np.log(before + PRIOR)[places[1]] - np.log(pair[places[2]] + unigram[places[0]])
         out.append(np.bincount(doc, each, len(lengths)) / np.maximum(lengths, 1))
     return out

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import WordCache, map_texts, ngram_hashes, staged, utf8
+from panelmill.llm.common import WordCache, map_texts, ngram_hashes, remembered, staged, utf8
 
 #: Size of a sketch, and how many values of the union's sketch a linked pair has in common at least.
 K, SHARED = 64, 34
@@ -57,6 +57,7 @@ DRAWN_ROUNDS = 1
 TASK_LINKS = 250_000
 
 _words = WordCache(xxhash.xxh64_intdigest)
+remembered(_words.clear)
 
 
 def shingles(text: bytes, words: int) -> np.ndarray:

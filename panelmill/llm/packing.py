@@ -24,20 +24,17 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from panelmill.llm.common import Numbered, WordCache, map_texts, staged, utf8
+from panelmill.llm.common import CACHE_BYTES, Numbered, WordCache, enter, remembered, slices, small_batches, staged, utf8
 
 CAPACITY = 4096
 END_ID = 2
-#: Rests that are spread over windows together, and rows of a task.
-GROUP_ROWS = 1024
-TASK_ROWS = 32_768
-_NO_IDS = np.zeros(0, np.uint32)
+#: Windows of tokens that rests come to which are spread together.
+GROUP_WINDOWS = 200
 # How byte-level vocabularies write bytes: printable Latin-1 as it is, the others in order from 256 on.
 _PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTES = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
@@ -54,18 +51,19 @@ class Tokenizer:
     The tokenizer drops white space and never joins across it, so a chunk is encoded when it
     is first met and then remembered, as a run of one flat array. It also lower-cases, so
     chunks that differ in the case of A-Z are one. A chunk of printable ASCII and Latin-1 letters
-    is split here as the tokenizer splits it, and its parts go straight to the model.
+    is split here as the tokenizer splits it, and its parts go straight to the model. A text that holds
+    the string of a special token, in whatever case, is left to the library as a whole.
     """
 
     #: Fixed value: how the tokenizer splits, for lower-case text of these characters.
     PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
     PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 
-    def __init__(self, json: str, most: int = 1_000_000):
+    def __init__(self, json: str, most: int = CACHE_BYTES):
         from tokenizers import Tokenizer as Own
 
         self.own = Own.from_str(json)
-        self.own.encode_special_tokens = True
+        self.special = [t.content.lower().encode() for t in self.own.get_added_tokens_decoder().values()]
         self.model = self.own.model
         self.most = most
         self.parts = WordCache(lambda part: [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))])
@@ -91,12 +89,17 @@ class Tokenizer:
         self.place.fresh = []
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        if len(self.place) > self.most:
+        if self.place.held > self.most:
             self._forget()
-        places = [self.place.of(t.lower().split()) for t in texts]
+        lowered = [t.lower() for t in texts]
+        whole = {i for i, t in enumerate(lowered) if any(s in t for s in self.special)}
+        places = [self.place.of(t.split()) if i not in whole else () for i, t in enumerate(lowered)]
         self._learn()
         out = []
-        for at in places:
+        for i, at in enumerate(places):
+            if i in whole:
+                out.append(np.array(self.own.encode(texts[i].decode(), add_special_tokens=False).ids, np.uint32))
+                continue
             lengths = self.lengths[at]
             ends = np.cumsum(lengths)
             total = int(ends[-1]) if len(ends) else 0
@@ -110,6 +113,9 @@ def _tokenizer(json: str) -> Tokenizer:
     return Tokenizer(json)
 
 
+remembered(_tokenizer.cache_clear)
+
+
 def spread(sizes: list[int], windows: int) -> list[list[int]]:
     """Numbers of the sizes in each window, by largest differencing.
 
@@ -169,64 +175,68 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
         windows = max(windows + 1, windows * fullest // capacity)
 
 
-def cut(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Pieces of every document: doc_id, start, length, ids_crc32, doc_tokens, and ids if asked for."""
-    json = docs.sparkSession.sparkContext.broadcast(tokenizer_json())
-
-    def work():
-        tokenizer = _tokenizer(json.value)
+class _Packer:
+    """The pieces of one task: full windows go on at once, rests when they are enough for a group."""
 
-        def do(rows: pa.RecordBatch) -> pa.RecordBatch:
-            doc, pieces, ids = [], [], []
-            for i, found in enumerate(tokenizer.encode(utf8(rows.column("text")))):
-                whole = np.append(found, np.uint32(END_ID))
-                for start in range(0, len(whole), capacity):
-                    piece = whole[start : start + capacity]
-                    doc.append(i)
-                    pieces.append((start, len(piece), zlib.crc32(piece.astype("<u4").tobytes()), len(whole)))
-                    ids.append(piece)
-            columns = [rows.column("doc_id").take(pa.array(doc, pa.int64())), *map(pa.array, np.array(pieces, np.int64).reshape(-1, 4).T)]
-            if with_ids:
-                offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([_NO_IDS, *ids]).astype(np.int32))))
-            return pa.RecordBatch.from_arrays(columns, names)
+    def __init__(self, capacity: int, first: int):
+        self.capacity, self.next, self.rests, self.tokens = capacity, first, [], 0
 
-        return do
+    def add(self, doc: int | None, ids: np.ndarray) -> Iterator[tuple]:
+        """A document's pieces as far as they are packed: doc, start, ids, its tokens, sequence, offset."""
+        for start in range(0, len(ids), self.capacity):
+            piece = ids[start : start + self.capacity]
+            if len(piece) == self.capacity:
+                yield doc, start, piece, len(ids), self.next, 0
+                self.next += 1
+            else:
+                self.rests.append((doc, start, piece, len(ids)))
+                self.tokens += len(piece)
+        if self.tokens >= GROUP_WINDOWS * self.capacity:
+            yield from self.packed()
 
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
-    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids
-    return map_texts(docs.select("doc_id", "text"), work, schema)
+    def packed(self) -> Iterator[tuple]:
+        for one in pack_group([len(r[2]) for r in self.rests], self.capacity) if self.rests else []:
+            at = 0
+            for i in one:
+                yield *self.rests[i], self.next, at
+                at += len(self.rests[i][2])
+            self.next += 1
+        self.rests, self.tokens = [], 0
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents with ``sequence_id`` and their ``offset`` in that sequence."""
-    pieces = staged(cut(docs, capacity, with_ids), "pieces")
-    # whole groups in each task: even parts, dealt round by round
-    parts = max(1, -(-pieces.count() // TASK_ROWS))
-    schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
+    """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, their ``ids`` if asked for,
+    ``sequence_id`` and their ``offset`` in that sequence."""
+    json = docs.sparkSession.sparkContext.broadcast(tokenizer_json())
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids, "sequence_id", "offset"]
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        doc, start, ids, tokens, sequence, offset = zip(*rows, strict=True)
+        crc = [zlib.crc32(i.astype("<u4").tobytes()) for i in ids]
+        columns = [pa.array(c, pa.int64()) for c in (doc, start, list(map(len, ids)), crc, tokens)]
+        if with_ids:
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32))))
+        return pa.RecordBatch.from_arrays([*columns, pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        first = TaskContext.get().partitionId() << 40  # a task has fewer sequences than that
-        held: list[pa.RecordBatch] = []
-        for batch in itertools.chain(batches, [None]):
-            held += [] if batch is None else [batch]
-            if held and (batch is None or sum(b.num_rows for b in held) >= GROUP_ROWS):
-                rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                sizes = rows.column("length").to_pylist()
-                sequence, offset = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
-                found = [[i] for i, n in enumerate(sizes) if n == capacity]
-                rest = [i for i, n in enumerate(sizes) if n < capacity]
-                found += [[rest[j] for j in one] for one in pack_group([sizes[i] for i in rest], capacity)]
-                for k, one in enumerate(found):
-                    sequence[one] = first + k
-                    offset[one] = np.cumsum([0, *(sizes[i] for i in one[:-1])])
-                first += len(found)
-                held = []
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sequence), pa.array(offset)], schema.names)
-
-    return staged(pieces.repartition(parts).mapInArrow(run, schema), "packed")
+        enter(__name__)
+        tokenizer = _tokenizer(json.value)
+        packer = _Packer(capacity, TaskContext.get().partitionId() << 40)  # a task has fewer sequences than that
+        for rows in itertools.chain.from_iterable(slices(b, "text") for b in batches):
+            out = []
+            for doc, ids in zip(rows.column("doc_id").to_pylist(), tokenizer.encode(utf8(rows.column("text"))), strict=True):
+                out += packer.add(doc, np.append(ids, np.uint32(END_ID)))
+            if out:
+                yield batch(out)
+        if packer.rests:
+            yield batch(list(packer.packed()))
+
+    small_batches(docs.sparkSession)
+    schema = ", ".join(f"{n} {'array<int>' if n == 'ids' else 'bigint'}" for n in names)
+    return staged(docs.select("doc_id", "text").mapInArrow(run, schema), "packed")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from panelmill.llm.common import bounded_sample, map_texts, strings
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents, about, whose spans the model is trained on.
+#: Bounds of fitting: documents, about, whose spans the model is trained on, and windows of them (``TRAIN_MOST`` below).
 SAMPLE_ROWS = 1500
 WINDOW, STRIDE = 128, 64
 HIDDEN, EPOCHS, BATCH, RATE = 16, 12, 48, 0.02
@@ -37,7 +37,8 @@ TRAIN_WINDOW, TRAIN_MOST = 80, 2400
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
+# A match that fails from the first digit of a run fails from its others too, and matches end with a run.
+_IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from panelmill.llm.common import WordCache, map_texts, ngram_hashes, utf8
+from panelmill.llm.common import WordCache, map_texts, ngram_hashes, remembered, utf8
 from panelmill.llm.rules import Text
 
 #: Labelled rows of either label that the model is fitted on, about.
@@ -30,6 +30,7 @@ THRESHOLD = 0.7
 STATISTICS = ("n_words", "n_chars", "word_length", "symbols", "upper", "digits", "repeated", "distinct", "dup_lines", "line_words")
 _DIGITS = b"0123456789"
 _words = WordCache(xxhash.xxh64_intdigest)
+remembered(_words.clear)
 
 
 def statistics(text: Text, hashes: np.ndarray, n_chars: int | None) -> list[float]:

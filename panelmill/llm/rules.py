@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from panelmill.llm.common import WordCache, bounded_sample, map_texts, ngram_hashes, utf8
+from panelmill.llm.common import WordCache, bounded_sample, map_texts, ngram_hashes, remembered, utf8
 
 #: Documents, about, on which cost and selectivity are measured.
 SAMPLE_ROWS = 400
@@ -31,6 +31,7 @@ _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(0x41, 0x5B))
 _LOWER = bytes(range(0x61, 0x7B))
 _hashes = WordCache(xxhash.xxh64_intdigest)
+remembered(_hashes.clear)
 
 
 class Text:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from panelmill.llm.common import Numbered, byte_matrix, map_texts, mix64, utf8
+from panelmill.llm.common import CACHE_BYTES, Numbered, byte_matrix, map_texts, mix64, remembered, utf8
 
 #: Labelled rows of either label that the model is fitted on, about.
 SAMPLE_ROWS = 1500
@@ -194,7 +194,7 @@ class Scorer:
         self.words, self.z = Numbered(), np.zeros(0)
 
     def __call__(self, texts: list[bytes]) -> list[float]:
-        if len(self.words) > _MOST_WORDS:
+        if self.words.held > CACHE_BYTES:
             self._forget()
         places = [self.words.of(words_of(t)) for t in texts]
         self.z = np.r_[self.z, self.model.word_logits(self.words.fresh)]
@@ -209,6 +209,9 @@ def _scorer(model: SubwordBag) -> Scorer:
     return Scorer(model)
 
 
+remembered(_scorer.cache_clear)
+
+
 def fit(rows: list) -> SubwordBag:
     """A model from rows with text and y (0 or 1)."""
     model = SubwordBag()

@@ -70,6 +70,18 @@ def test_spans_are_cut_and_the_rest_stays(spark):
     assert {101, 102, 107} <= set(left)  # empty texts aren't contaminated
 
 
+def test_spans_over_blocks_are_joined(spark):
+    docs, items = documents(spark, TEXTS), benchmark(spark, ITEMS)
+    one, several = (D.scan(docs, items, block_words=n).select("doc_id", "n_words", "n_hit", "spans", "items") for n in (10**6, 10))
+    assert rows_of(one) == rows_of(several)
+
+
+def test_documents_mode_over_blocks(spark):
+    docs, items = documents(spark, TEXTS), benchmark(spark, ITEMS)
+    one, several = (D.decontaminate(docs, items, remove="documents", block_words=n) for n in (10**6, 10))
+    assert rows_of(one) == rows_of(several)
+
+
 def test_documents_mode_drops_only_hit_documents(spark):
     kept = D.decontaminate(documents(spark, TEXTS), benchmark(spark, ITEMS), remove="documents")
     clean = [d for d, _, n, _ in brute(TEXTS, ITEMS) if n == 0]

@@ -19,7 +19,7 @@ def model():
     return L.LanguageModel(["de", "en"][::-1], L.vocabulary()).fit(counts)
 
 
-@pytest.mark.parametrize("word", ["heather", "ünglich", "☃x", "a", "thethe"])
+@pytest.mark.parametrize("word", ["heather", "ünglich", "☃x", "a", "thethe", "entertainment", "straßenbahn"])
 def test_forward_sums_all_segmentations(model, word):
     numbers = {p: i for i, p in enumerate(L.vocabulary(), 2)}
     whole = "▁" + word
@@ -28,7 +28,7 @@ def test_forward_sums_all_segmentations(model, word):
         if at == len(whole):
             return 1.0
         out = 0.0
-        for n in range(1, min(L.LONGEST, len(whole) - at) + 1):
+        for n in range(1, len(whole) - at + 1):
             piece = whole[at : at + n]
             p = model.p[numbers[piece], k] if piece in numbers else (L.UNKNOWN if n == 1 else 0.0)
             out += p * total(at + n, k) if p else 0.0
@@ -44,6 +44,33 @@ def test_long_words_have_the_same_sums(model):
     assert np.isfinite(model.word_scores(["x" * 3000])).all()
 
 
+def test_long_words_are_learnt_from():
+    """Languages without spaces: their words are whole sentences."""
+    counts = [Counter({"thingheather" * 30: 2, "thingthing" * 4: 1}), Counter({"ungscheinlich" * 30: 2, "lichung" * 5: 1})]
+    m = L.LanguageModel(["en", "de"], L.vocabulary()).fit(counts)
+    assert m.p[2:].sum(axis=0) == pytest.approx([1.0, 1.0])
+    scores = m.word_scores(["heatherthing" * 12, "scheinung" * 12])
+    assert scores[0, 0] > scores[0, 1] and scores[1, 1] > scores[1, 0]
+
+
+def test_one_round_on_a_long_word_equals_plain_sums():
+    """Forward and backward sums without scales, which a word of 60 letters still allows."""
+    pieces, word = ["▁", "☃", "☃☃", "☃☃☃"], "▁" + "☃" * 60
+    p = dict.fromkeys(pieces, 1 / 6)
+    ahead, back = [1.0] + [0.0] * len(word), [0.0] * len(word) + [1.0]
+    steps = [(i, j, word[i:j]) for i in range(len(word)) for j in range(i + 1, min(i + 3, len(word)) + 1) if word[i:j] in p]
+    for i, j, x in sorted(steps, key=lambda s: s[1]):
+        ahead[j] += ahead[i] * p[x]
+    for i, j, x in sorted(steps, key=lambda s: -s[0]):
+        back[i] += p[x] * back[j]
+    expected = dict.fromkeys(pieces, 0.01)
+    for i, j, x in steps:
+        expected[x] += 2 * ahead[i] * p[x] * back[j] / back[0]
+    total = sum(expected.values())
+    m = L.LanguageModel(["x"], pieces).fit([Counter({"☃" * 60: 2})], rounds=1)
+    assert m.p[2:, 0] == pytest.approx([expected[x] / total for x in pieces], rel=1e-6)
+
+
 def test_expectation_maximisation_raises_the_likelihood():
     counts = [Counter({"heather": 3, "thing": 5, "anther": 2, "there": 4})]
 

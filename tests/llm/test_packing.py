@@ -14,15 +14,15 @@ from tests.llm.helpers import ODD, documents, prose, rows_of
 TEXTS = [
     *ODD,
     *[(100 + i, prose(i, 5 * i + 1)) for i in range(60)],
+    (201, "a <|endoftext|> b"),
+    (202, "A<|startoftext|><|EndOfText|>B <|endoftext|"),
     (200, "Don't! it's 2024-01-31... 'S we'LL Été İ K ΣΣ ﬁ é \x00\x1f x\x1cy  z <|endoftext|>"),
 ]
 
 
 @pytest.fixture(scope="module")
 def own():
-    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_tokenizer_equals_the_library(own):
@@ -94,5 +94,18 @@ def test_round_trip_and_padding(spark, own, capacity):
     assert sum(map(len, joined.values())) == total
 
 
+def test_groups_close_by_tokens_not_rows(spark):
+    """Many short texts fill their windows."""
+    packed = P.pack(documents(spark, [(i, "one two three four five six seven eight nine ten eleven") for i in range(4096)]).coalesce(1), 1024)
+    sizes = [r["n"] for r in packed.groupBy("sequence_id").agg({"length": "sum"}).toDF("sequence_id", "n").collect()]
+    assert sum(sizes) == 12 * 4096 and len(sizes) <= 12 * 4096 / 1024 + 1
+
+
+def test_ids_are_packed_alike_with_and_without_them(spark):
+    docs = documents(spark, TEXTS)
+    plain, full = P.pack(docs), P.pack(docs, with_ids=True)
+    assert rows_of(plain) == rows_of(full.drop("ids"))
+
+
 def test_empty_table(spark):
     assert rows_of(P.pack(documents(spark, []))) == []

@@ -144,3 +144,22 @@ def test_nothing_to_learn_from(spark):
 def test_fit_on_documents(spark):
     docs = documents(spark, [(i, f"{prose(i, 20)} {' '.join(private(i))}") for i in range(12)])
     assert isinstance(P.fit(docs), P.Tagger)
+
+
+def test_long_runs_of_digits_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert P.base_spans("7" * 2_000_000 + " 10.0.0.1") == [("ip", 2_000_001, 2_000_009)]
+    assert time.perf_counter() - start < 20
+
+
+def test_addresses_equal_the_plain_pattern():
+    import random
+    import re
+
+    rng, plain = random.Random(4), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    for _ in range(3000):
+        text = "".join(rng.choices("0125.. x", k=rng.randint(1, 40)))
+        wanted = [m.span() for m in plain.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+        assert [(a, b) for kind, a, b in P.base_spans(text) if kind == "ip"] == wanted
