@@ -1,4 +1,10 @@
-"""A training corpus from raw documents: language, near copies, benchmark passages, personal data, packing."""
+"""A training corpus from raw documents: language, near copies, benchmark passages, personal data, packing.
+
+Defined cases: null and empty texts have no letters and go with the first stage; rows without an id are
+documents of their own; of equal rows with one id one stays, and different texts of one id are judged
+each; further columns are carried as they are up to packing, also those named like a result of a
+stage; an empty table gives no pieces.
+"""
 
 from __future__ import annotations
 
@@ -13,14 +19,20 @@ from panelmill.llm.common import staged, table
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str, least: float = 0.5) -> DataFrame:
     """Documents with a language; where none is given, the predicted one.
 
-    A document without letters, or on which no language is likelier than all others together, goes.
+    A document without letters, or on which the likeliest language has a posterior below ``least``, goes.
+    Where no row gives a language nothing can be predicted, and every document with a letter stays.
     """
-    found = language.identify(docs, language.fit(docs, F.lit(True)))
-    kept = found.where((F.col("lang_pred") != language.UNDECIDED) & (F.col("score") >= 0.5))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    model = language.fit(docs, F.lit(True))
+    if not model.langs:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = language.identify(docs.withColumnsRenamed(own), model)
+    kept = found.where((F.col("lang_pred") != language.UNDECIDED) & (F.col("score") >= least))
+    named = kept.withColumn("lang", F.coalesce("lang", "lang_pred")).drop("lang_pred", "score")
+    return named.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
