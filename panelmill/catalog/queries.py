@@ -872,7 +872,7 @@ def class_weights(spark, sf_dir):
 
 @query("grid_search")
 def grid_search(spark, sf_dir):
-    """The whole grid: points tried, metrics out of range, and whether the first row is the best."""
+    """The whole grid: points tried, rows each was scored on, metrics out of range, and whether the first row is the best."""
     from panelmill.operators.models import grid_search as search
 
     parts = _parts(spark, sf_dir)
@@ -883,10 +883,12 @@ def grid_search(spark, sf_dir):
         F.count("*").alias("points"),
         F.count_distinct("depth", "rate", "trees").alias("distinct_points"),
         F.max("trees").alias("most_trees"),
+        F.min("scored_rows").alias("least_rows"),
+        F.max("scored_rows").alias("most_rows"),
         F.count_if(~F.col("pr_auc").between(0, 1) | ~F.col("roc_auc").between(0, 1)).alias("out_of_range"),
         best,
     ).join(first, F.col("best") == F.col("point"), "left").select(
-        "points", "distinct_points", "most_trees", "out_of_range", F.col("point").isNotNull().cast("int").alias("best_is_first")
+        "points", "distinct_points", "most_trees", "least_rows", "most_rows", "out_of_range", F.col("point").isNotNull().cast("int").alias("best_is_first")
     )
 
 

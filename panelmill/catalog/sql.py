@@ -685,8 +685,9 @@ SQL |= {
     **{f"{name}_fit": scored_facts(f"{name}_fit", "validation") for name in ("logistic", "forest", "gbt", "mlp")},
     "logistic_gradient": f"""{SPLIT_V3} select count(*) as rows, 0.0::double as steepest from split
         where dataset_split = 'train'""",
-    "grid_search": """select 8 as points, 8 as distinct_points, 400.0::double as most_trees, 0 as out_of_range,
-        1 as best_is_first""",
+    "grid_search": f"""{SPLIT_V3} select 8 as points, 8 as distinct_points, 400.0::double as most_trees,
+        count(*) as least_rows, count(*) as most_rows, 0 as out_of_range, 1 as best_is_first
+        from split where dataset_split = 'validation'""",
     "training_workflow": f"""{SPLIT_V3}, n as (
           select count(*) filter (dataset_split = 'train') as train_rows,
                  count(*) filter (dataset_split = 'validation') as validation_rows,

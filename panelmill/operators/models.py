@@ -17,6 +17,7 @@ from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelmill.operators.ensembles import prefix_model, prefix_scores
 from panelmill.operators.metrics import confusion_of_cells, ranking_of_cells, stored_cells, threshold_metrics
 from panelmill.operators.profile import quantiles
 from panelmill.operators.scoring import PROBABILITY, with_probability
@@ -26,6 +27,8 @@ from panelmill.sources.tables import staged
 
 WEIGHT = "class_weight"
 SEED = 42
+#: Training rows of a task, about 8 MB of values.
+TASK_ROWS = 50_000
 
 
 def medians(df: DataFrame, features: Sequence[str] = FEATURES) -> dict[str, float]:
@@ -133,10 +136,13 @@ def prepared(train: DataFrame, features: Sequence[str] = FEATURES) -> tuple[Pipe
     """Preparation fitted once on the training rows, and those rows as stored vectors.
 
     All candidates share both. Iterative fits submit hundreds of jobs, so they start
-    from a table instead of the lineage of the panel.
+    from a table instead of the lineage of the panel, and from as few partitions as its size asks for:
+    on a small table the cost of a job is that of its tasks' start.
     """
     fitted = Pipeline(stages=preparation(medians(train, features))).fit(train)
-    return fitted, staged(fitted.transform(train).select("features", TARGET), "training-vectors")
+    vectors = staged(fitted.transform(train).select("features", TARGET), "training-vectors")
+    parts = -(-vectors.count() // TASK_ROWS)
+    return fitted, vectors if parts >= vectors.rdd.getNumPartitions() else vectors.coalesce(max(1, parts))
 
 
 def _without_summary(model: Model, spark: SparkSession) -> Model:
@@ -242,27 +248,37 @@ def grid_search(
     scheme: str = "scaled",
     parallelism: int = 4,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Fit every grid point on the earlier period and rank it on the later one.
+    """Try every grid point on the earlier period and rank it on the later one.
 
-    The library's own validators split at random, which would mix periods, so the
-    fits are submitted side by side here and Spark runs their jobs concurrently.
+    The library's own validators split at random, which would mix periods. Points that differ only in
+    their number of trees are prefixes of one ensemble: it is fitted once, with the most trees, and one pass
+    over the validation rows scores all of them. The fits are submitted side by side.
     Returns the results table and the model of its best row.
     """
     spark: SparkSession = train.sparkSession
     shared = prepared(train, features)
     points = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
-
-    def run(point: dict) -> PipelineModel:
-        return fit(train, boosting(**point), features, scheme, shared)
+    nests: dict[tuple, list[int]] = {}
+    for i, point in enumerate(points):
+        nests.setdefault(tuple(v for k, v in point.items() if k != "trees"), []).append(i)
+
+    def run(nest: list[int]) -> tuple[PipelineModel, list[tuple]]:
+        sizes = [points[i]["trees"] for i in nest]
+        model = fit(train, boosting(**{**points[nest[0]], "trees": max(sizes)}), features, scheme, shared)
+        scored = staged(prefix_scores(validation, model, sizes, [TARGET], "prefixes"), "prefix-scores")
+        rows = []
+        for k, i in enumerate(nest):
+            cells = stored_cells(scored.select(TARGET, F.col("prefixes")[k].alias(PROBABILITY)), TARGET, PROBABILITY)
+            metric = ranking_of_cells(cells).first()  # one row
+            rows.append((i, *[float(v) for v in points[i].values()], metric["pr_auc"], metric["roc_auc"], metric["positives"] + metric["negatives"]))
+        return model, rows
 
     with ThreadPoolExecutor(parallelism) as pool:
-        fitted = list(pool.map(run, points))
-    rows = []
-    for i, (point, model) in enumerate(zip(points, fitted)):
-        cells = stored_cells(with_probability(validation, model), TARGET, PROBABILITY)
-        metric = ranking_of_cells(cells).first()  # one row
-        rows.append((i, *[float(v) for v in point.values()], metric["pr_auc"], metric["roc_auc"]))
-    schema = "point int, " + ", ".join(f"{k} double" for k in grid) + ", pr_auc double, roc_auc double"
+        done = list(pool.map(run, nests.values()))
+    rows = sorted(row for _, found in done for row in found)
+    schema = "point int, " + ", ".join(f"{k} double" for k in grid) + ", pr_auc double, roc_auc double, scored_rows long"
     results = spark.createDataFrame(rows, schema)
-    best = max(rows, key=lambda r: (r[-2], -r[0]))[0]
-    return results.orderBy(F.desc("pr_auc"), "point"), fitted[best]
+    best = max(rows, key=lambda r: (r[-3], -r[0]))[0]
+    whole = next(model for (model, _), nest in zip(done, nests.values()) if best in nest)
+    first = prefix_model(whole.stages[-1], points[best]["trees"], spark)
+    return results.orderBy(F.desc("pr_auc"), "point"), PipelineModel(stages=[*whole.stages[:-1], first])

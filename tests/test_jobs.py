@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelmill.operators import ensembles
 from panelmill.operators import models as L
 from panelmill.operators.metrics import FINE_SWEEP
+from panelmill.operators.scoring import with_probability
 from panelmill.plans import medallion, training
 from panelmill.schema import FEATURES, TARGET
 from panelmill.session import scratch_folder, scratch_path
@@ -130,6 +132,39 @@ def test_grid_search_ranks_every_point(dataset):
     assert best["pr_auc"] == pytest.approx(rows[0]["pr_auc"])
 
 
+def test_prefix_and_separate_fit_are_equal(spark, dataset):
+    """A fit of six trees holds the fit of three: trees, margins, probabilities and metrics."""
+    train, validation = (dataset.where(F.col("dataset_split") == s) for s in ("train", "validation"))
+    shared = L.prepared(train)
+    long, short = (L.fit(train, L.boosting(n, rate=0.1), scheme="scaled", shared=shared) for n in (6, 3))
+    cut = ensembles.prefix_model(long.stages[-1], 3, spark)
+    nodes = [[t.toDebugString.partition("\n")[2] for t in m.trees] for m in (cut, short.stages[-1])]  # below the line with the uid
+    assert nodes[0] == nodes[1]
+    keys = ["customer_unique_id", "observation_date"]
+    scored = ensembles.prefix_scores(validation, long, [3, 6], keys, "p").collect()
+    for k, model in enumerate((short, long)):
+        said = {tuple(r[c] for c in keys): r["churn_probability"] for r in with_probability(validation, model).collect()}
+        assert {tuple(r[c] for c in keys): r["p"][k] for r in scored} == {x: pytest.approx(v, rel=1e-12) for x, v in said.items()}
+    vectors = shared[0].transform(validation)
+    probabilities = [[tuple(r[0]) for r in m.transform(vectors).select("probability").collect()] for m in (cut, short.stages[-1])]
+    assert probabilities[0] == probabilities[1]
+    path = scratch_path(spark, "cut")
+    cut.write().save(path)
+    assert type(cut).load(path).getNumTrees == 3
+
+
+def test_grid_points_of_one_ensemble(dataset):
+    grid = {"depth": (2,), "rate": (0.1, 0.3), "trees": (1, 4)}
+    train, validation = (dataset.where(F.col("dataset_split") == s) for s in ("train", "validation"))
+    table, model = L.grid_search(train, validation, grid)
+    rows = {(r["rate"], r["trees"]): r for r in table.collect()}
+    assert len(rows) == 4 and {r["scored_rows"] for r in rows.values()} == {validation.count()}
+    alone = L.fit(train, L.boosting(1, 2, 0.3), scheme="scaled")
+    assert L.evaluate(alone, validation, "m", "validation").first()["pr_auc"] == pytest.approx(rows[0.3, 1.0]["pr_auc"])
+    best = max(rows.values(), key=lambda r: (r["pr_auc"], -r["point"]))
+    assert model.stages[-1].getNumTrees == best["trees"]
+
+
 def test_scoring_batch_needs_its_columns(spark):
     path = X.write_csv(spark.createDataFrame([(1, 2)], ["order_count_180d", TARGET]), scratch_path(spark, "b"))
     with pytest.raises(ValueError, match="recency_days"):
