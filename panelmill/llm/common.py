@@ -20,7 +20,7 @@ from panelmill.session import scratch_path
 #: Text bytes that are worked on at once in a task.
 SLICE_BYTES = 4_000_000
 #: Bytes that a worker remembers of words before it starts anew: the words, and about so many for each entry.
-CACHE_BYTES, ENTRY_BYTES = 48_000_000, 200
+CACHE_BYTES, ENTRY_BYTES = 64_000_000, 120
 #: Rows of one Arrow batch between Spark and Python.
 BATCH_ROWS = 500
 
