@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from panelmill.catalog.sql_base import INTS, MEANS, MONEY
 from panelmill.functions.columns import finite_double, safe_cast, standardize_columns
 from panelmill.operators import dataset as D
+from panelmill.operators import intervals as I
 from panelmill.operators import metrics as M
 from panelmill.operators import orders as O
 from panelmill.operators import panel as P
@@ -369,6 +370,23 @@ def lookback_join(spark, sf_dir):
     return shown(pairs, CUSTOMER, SNAPSHOT, "order_id", "order_purchase_timestamp")
 
 
+@query("lookback_interval_join")
+def lookback_interval_join(spark, sf_dir):
+    """The same pairs by bins of time instead of runs of months."""
+    orders = X.staged(completed(spark, sf_dir), "completed-orders")
+    pairs = I.lookback_pairs(P.panel(orders, P.V3), orders, P.V3)
+    return shown(pairs, CUSTOMER, SNAPSHOT, "order_id", "order_purchase_timestamp")
+
+
+@query("midmonth_order_counts")
+def midmonth_order_counts(spark, sf_dir):
+    """Orders in the two weeks before the 15th of each month with a purchase: a window that isn't a run of month ends."""
+    orders = X.staged(completed(spark, sf_dir), "completed-orders")
+    day = F.date_add(F.trunc(F.col(P.PURCHASE_TIME), "month"), 14).alias(SNAPSHOT)
+    pairs = I.lookback_pairs(orders.select(CUSTOMER, day).distinct(), orders, P.SnapshotSpec(history_days=14), days=14)
+    return shown(pairs.groupBy(CUSTOMER, SNAPSHOT).agg(F.count("*").alias("orders")))
+
+
 @query("label_v3")
 def label_v3(spark, sf_dir):
     return shown(P.forward_label(completed(spark, sf_dir), P.V3))
@@ -421,6 +439,13 @@ def gold_v3_full_panel(spark, sf_dir):
     return shown(panel(spark, sf_dir, spec, ALL_BLOCKS), *GOLD_COLUMNS["v3"])
 
 
+@query("gold_v3_strict")
+def gold_v3_strict(spark, sf_dir):
+    """Reviews and deliveries only from the time on at which they had happened."""
+    spec = P.SnapshotSpec(strict_as_of=True)
+    return shown(panel(spark, sf_dir, spec, ALL_BLOCKS), *GOLD_COLUMNS["v3"])
+
+
 @query("active_history")
 def active_history(spark, sf_dir):
     rows = P.active_history(panel(spark, sf_dir, P.SnapshotSpec(active_only=False)))

@@ -8,6 +8,7 @@ from panelmill.catalog.sql_base import (
     BASE_LABEL_V3,
     BASE_PANEL_V2,
     BASE_PANEL_V3,
+    GOLD_STRICT,
     GOLD_V1,
     GOLD_V2,
     GOLD_V3,
@@ -549,6 +550,19 @@ SQL: dict[str, str] = {
         from panel p left join completed o on p.customer_unique_id = o.customer_unique_id
          and o.order_purchase_timestamp > cast(p.observation_date as timestamp) - interval 180 day
          and o.order_purchase_timestamp <= cast(p.observation_date as timestamp)""",
+    "lookback_interval_join": f"""{BASE_PANEL_V3} select p.customer_unique_id,
+        cast(p.observation_date as varchar) as observation_date, order_id,
+        {stamp("order_purchase_timestamp")} as order_purchase_timestamp
+        from panel p join completed o on p.customer_unique_id = o.customer_unique_id
+         and o.order_purchase_timestamp > cast(p.observation_date as timestamp) - interval 180 day
+         and o.order_purchase_timestamp <= cast(p.observation_date as timestamp)""",
+    "midmonth_order_counts": f"""{BASE}, days as (
+          select distinct customer_unique_id,
+                 cast(date_trunc('month', order_purchase_timestamp) as timestamp) + interval 14 day as mid from completed)
+        select d.customer_unique_id, cast(cast(mid as date) as varchar) as observation_date, count(*) as orders
+        from days d join completed o on d.customer_unique_id = o.customer_unique_id
+         and o.order_purchase_timestamp > mid - interval 14 day and o.order_purchase_timestamp <= mid
+        group by all""",
     "label_v3": f"""{BASE_LABEL_V3} select customer_unique_id, {DAY}, future_orders_90d,
         case when future_orders_90d = 0 then 1 else 0 end as churn_90d from future""",
     "label_v2": f"""{BASE_LABEL_V2} select customer_unique_id, {DAY}, future_orders_90d,
@@ -559,6 +573,7 @@ SQL: dict[str, str] = {
     "gold_v1": select_gold(GOLD_V1, GOLD_COLUMNS["v1"]),
     "gold_v2": select_gold(GOLD_V2, GOLD_COLUMNS["v2"]),
     "gold_v3": select_gold(GOLD_V3, GOLD_COLUMNS["v3"]),
+    "gold_v3_strict": select_gold(GOLD_STRICT, GOLD_COLUMNS["v3"]),
     "gold_v3_full_panel": select_gold(GOLD_V3_ALL, GOLD_COLUMNS["v3"]),
     "active_history": select_gold(
         GOLD_V3,

@@ -138,6 +138,21 @@ hist_items as (
   group by 1, 2)
 """
 
+# measures of an order before its review or delivery: those of an order without one
+FEATURES_STRICT = FEATURES_V3
+for _measure, _time in {
+    "avg(review_score)": "o.order_purchase_timestamp + interval 25 day",
+    "count(review_score)": "o.order_purchase_timestamp + interval 25 day",
+    "avg(delivery_delay_days)": "o.order_delivered_customer_date",
+}.items():
+    _name, _value = _measure.rstrip(")").split("(")
+    _known = f"case when {_time} <= cast(p.observation_date as timestamp) then {_value} end"
+    FEATURES_STRICT = FEATURES_STRICT.replace(_measure, f"{_name}({_known})")
+FEATURES_STRICT = FEATURES_STRICT.replace(
+    "case when delivery_delay_days > 0 then",
+    "case when delivery_delay_days > 0 and o.order_delivered_customer_date <= cast(p.observation_date as timestamp) then",
+)
+
 LEVEL_ZERO = """
 level0 as (
   select order_id, customer_unique_id, order_purchase_timestamp,
@@ -225,6 +240,9 @@ BASE_LABEL_V2 = _with(ENTITIES, PANEL_PURCHASE, LABEL_V12)
 GOLD_V3 = _with(
     ENTITIES, PANEL_DENSE, FEATURES_V3, LABEL_V3, GOLD.format(where="where order_count_180d > 0")
 )
+GOLD_STRICT = _with(
+    ENTITIES, PANEL_DENSE, FEATURES_STRICT, LABEL_V3, GOLD.format(where="where order_count_180d > 0")
+)
 GOLD_V3_ALL = _with(ENTITIES, PANEL_DENSE, FEATURES_V3, LABEL_V3, GOLD.format(where=""))
 GOLD_V2 = _with(ENTITIES, LEVEL_ZERO, PANEL_PURCHASE, FEATURES_V12, LABEL_V12, GOLD.format(where=""))
 GOLD_V1 = GOLD_V2

@@ -129,11 +129,23 @@ def payment_rollup(payments: DataFrame) -> DataFrame:
     )
 
 
-def review_rollup(reviews: DataFrame) -> DataFrame:
-    """Mean score and number of reviews per order."""
+#: When the measures of an order are known, where that is later than its purchase.
+KNOWN_AT = {
+    "review_known_at": REVIEW_MEASURES,
+    "order_delivered_customer_date": ("delivery_delay_days", "is_late"),
+}
+
+
+def review_rollup(reviews: DataFrame, known_at: bool = False) -> DataFrame:
+    """Mean score and number of reviews per order.
+
+    With ``known_at`` also when the last of them was written; without a date for each, that is never.
+    """
+    written = F.when(F.count("review_creation_date") == F.count("*"), F.max("review_creation_date"))
     return reviews.groupBy("order_id").agg(
         F.avg("review_score").alias("review_score"),
         F.count("*").alias("review_count"),
+        *([written.alias("review_known_at")] if known_at else []),
     )
 
 
@@ -156,7 +168,7 @@ def order_level(
             continue
         out = out.join(rollup, "order_id", "left")
         if missing_as_zero:
-            out = fill_zero(out, [c for c in rollup.columns if c != "order_id"])
+            out = fill_zero(out, [c for c in rollup.columns if c not in ("order_id", *KNOWN_AT)])
     return out
 
 

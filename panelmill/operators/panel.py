@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.functions.columns import fill_zero, month_end, month_index, ratio
-from panelmill.operators.orders import PURCHASE_TIME
+from panelmill.operators.orders import KNOWN_AT, PURCHASE_TIME
 from panelmill.schema import CUSTOMER, SNAPSHOT, TARGET
 
 MONTHS_PER_WORD = 60
@@ -39,6 +39,9 @@ class SnapshotSpec:
     reviewed_orders: review count is the number of reviewed orders, else of reviews.
     diversity: ``entities`` counts distinct products, categories and sellers over
     the window; ``per_order`` averages the per-order distinct counts.
+    strict_as_of: reviews and deliveries count from the first snapshot at which they had happened;
+    before, the order counts as one without them. Each measure so has a run of months of its own, the
+    meet of the look-back window and "known by then". Else they are joined by order, whenever they happened.
     """
 
     history_days: int = 180
@@ -50,6 +53,7 @@ class SnapshotSpec:
     missing_as_zero: bool = False
     reviewed_orders: bool = True
     diversity: str = "entities"
+    strict_as_of: bool = False
 
     def __post_init__(self) -> None:
         if self.panel not in ("dense", "purchase_month"):
@@ -88,6 +92,13 @@ V2 = SnapshotSpec(
 V3 = SnapshotSpec()
 
 
+def first_snapshot(time: Column) -> Column:
+    """Month index of the first snapshot at or after a time."""
+    day = F.to_date(time)
+    on_last_day = (day == F.last_day(day)) & (time > day.cast("timestamp"))
+    return month_index(day) + F.when(on_last_day, 1).otherwise(0)
+
+
 def snapshot_runs(time: Column, spec: SnapshotSpec) -> dict[str, Column]:
     """Month-index runs a purchase belongs to, bounds included.
 
@@ -108,7 +119,7 @@ def snapshot_runs(time: Column, spec: SnapshotSpec) -> dict[str, Column]:
     reaches_far = is_month_end(far) if spec.lower_inclusive else is_month_end(far) & past_midnight
     return {
         "future_from": month_index(near) + step(is_month_end(near) & past_midnight),
-        "history_from": month_index(day) + step(is_month_end(day) & past_midnight),
+        "history_from": first_snapshot(time),
         "history_to": month_index(far) - 1 + step(reaches_far),
     }
 
@@ -186,15 +197,27 @@ def _with_runs(facts: DataFrame, spec: SnapshotSpec, bounds: DataFrame | None) -
     )
 
 
+def _as_known(rows: DataFrame, spec: SnapshotSpec) -> DataFrame:
+    """Measures that were not known yet at a row's snapshot, as those of an order that has none."""
+    empty = {m: 0 if spec.missing_as_zero or m == "is_late" else None for measures in KNOWN_AT.values() for m in measures}
+    out = {}
+    for time, measures in KNOWN_AT.items():
+        if time in rows.columns:
+            known = F.coalesce(F.col("_index") >= first_snapshot(F.col(time)), F.lit(False))
+            out |= {m: F.when(known, F.col(m)).otherwise(F.lit(empty[m])) for m in measures if m in rows.columns}
+    return rows.withColumns(out)
+
+
 def order_contributions(orders: DataFrame, spec: SnapshotSpec, bounds: DataFrame | None) -> DataFrame:
     """Each order once per snapshot it is history or future of; ``_past`` tells which."""
     run = _with_runs(orders, spec, bounds)
-    return (
+    rows = (
         run.where(F.col("future_from") <= F.col("history_to"))
         .withColumn("_index", F.explode(F.sequence("future_from", "history_to")))
         .withColumn("_past", F.col("_index") >= F.col("history_from"))
         .drop("future_from", "history_from", "history_to")
     )
+    return _as_known(rows, spec) if spec.strict_as_of else rows
 
 
 def entity_contributions(

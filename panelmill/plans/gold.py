@@ -51,7 +51,7 @@ def order_facts(
         completed,
         items,
         O.payment_rollup(tables["payments"]) if "payments" in blocks else None,
-        O.review_rollup(tables["reviews"]) if "reviews" in blocks else None,
+        O.review_rollup(tables["reviews"], spec.strict_as_of) if "reviews" in blocks else None,
         missing_as_zero=spec.missing_as_zero,
     )
     return facts, details
