@@ -18,6 +18,7 @@ from panelmill.operators import panel as P
 from panelmill.operators import profile as Q
 from panelmill.operators import scoring as S
 from panelmill.operators.cleaning import clean
+from panelmill.operators.leakage import purest_ranges
 from panelmill.plans import reports as R
 from panelmill.plans.gold import ALL_BLOCKS, GOLD_PARTITIONS, gold, order_facts
 from panelmill.plans.medallion import ingest, refine
@@ -520,6 +521,13 @@ def customers_in_both(spark, sf_dir):
     return D.overlap_between(parts["train"], parts["test"])
 
 
+@query("pure_feature_ranges")
+def pure_feature_ranges(spark, sf_dir):
+    """All 19 features of the second generation at once: ranges of a label with a hundredth of the rows. Its leak is among them."""
+    rows = stored_panel(spark, sf_dir, "v2", ALL_BLOCKS)
+    return rounded(purest_ranges(rows, digits=6), 4, "low", "high")
+
+
 @query("leakage_probe")
 def leakage_probe(spark, sf_dir):
     """The second generation's zero-history rows share one label."""

@@ -608,6 +608,19 @@ SQL: dict[str, str] = {
                (select count(*) from c a join c b using (u) where a.s = 'train' and b.s = 'test') as train_test""",
     "customers_in_both": f"""{SPLIT_V3} select customer_unique_id from split where dataset_split = 'train'
         intersect select customer_unique_id from split where dataset_split = 'test'""",
+    "pure_feature_ranges": f"""{GOLD_V2}, long as (
+          select unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) as feature,
+                 unnest([{", ".join(f"round(cast({f} as double), 6)" for f in FEATURES)}]) as value, churn_90d from gold),
+        cells as (select feature, value, count(*) as n,
+                         case when min(churn_90d) = max(churn_90d) then max(churn_90d) else -1 end as label
+                  from long where value is not null group by 1, 2),
+        marked as (select *, row_number() over (partition by feature order by value)
+                             - row_number() over (partition by feature, label order by value) as island from cells),
+        runs as (select feature, label, min(value) as low, max(value) as high, cast(sum(n) as bigint) as rows
+                 from marked where label >= 0 group by feature, label, island),
+        best as (select *, row_number() over (partition by feature, label order by rows desc, low) as place from runs)
+        select feature, cast(label as integer) as label, round(low, 4) as low, round(high, 4) as high, rows
+        from best where place = 1 and rows >= 0.01 * (select count(*) from gold)""",
     "leakage_probe": f"""{GOLD_V2} select 'order_count_180d' as feature, order_count_180d as feature_value,
         count(*) as rows, avg(churn_90d) as churn_rate from gold group by 2
         having count(*) >= 2 and avg(churn_90d) in (0, 1)""",
