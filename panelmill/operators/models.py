@@ -27,8 +27,8 @@ from panelmill.sources.tables import staged
 
 WEIGHT = "class_weight"
 SEED = 42
-#: Training rows of a task, about 8 MB of values.
-TASK_ROWS = 50_000
+#: Training rows of a task, at least, where a table has more than one.
+TASK_ROWS = 15_000
 
 
 def medians(df: DataFrame, features: Sequence[str] = FEATURES) -> dict[str, float]:
