@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelmill.operators import metrics as M
@@ -15,7 +15,7 @@ from panelmill.operators.explain import linear_attribution, mean_absolute, model
 from panelmill.operators.models import candidates, champion, compare, evaluate_cells
 from panelmill.operators.scoring import PROBABILITY, decide, top_risk, with_probability
 from panelmill.schema import CUSTOMER, FEATURES, SNAPSHOT, SPLIT, TARGET
-from panelmill.sources.tables import staged, write_csv, write_json_record, write_parquet
+from panelmill.sources.tables import read_csv, staged, write_csv, write_json_record, write_parquet
 
 
 @dataclass
@@ -152,5 +152,16 @@ def store(run: TrainingRun, path: str, features: Sequence[str] = FEATURES, grid:
     )
 
 
+def stored_rows(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """name and rows of tables of a stored run, counted from the files; a table that is not there is an error."""
+    out: DataFrame | None = None
+    for name in names:
+        one = read_csv(spark, f"{path}/{name}", infer=True).agg(F.count("*").alias("rows")).select(F.lit(name).alias("name"), "rows")
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no tables asked for")
+    return out
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(f"{path}/champion_model")

@@ -106,8 +106,18 @@ def test_training_run_is_stored_and_reloads(spark, dataset):
     assert run.champion == max(results.values(), key=lambda r: r["pr_auc"])["model"]
     assert 0.01 <= run.threshold <= 0.99
     path = scratch_path(spark, "run")
-    training.store(run, path)
+    grid, _ = L.grid_search(run.parts["train"], run.parts["validation"], {"depth": (2,), "rate": (0.1,), "trees": (1, 2)})
+    training.store(run, path, grid=grid)
     training.explain(run, path)
+    tables = ["grid_results", "threshold_results", "test_confusion", "importance", "attribution_values", "attribution_importance"]
+    linear_or_tree = not run.champion.startswith("neural")
+    found = {r["name"]: r["rows"] for r in training.stored_rows(spark, path, tables if linear_or_tree else tables[:3]).collect()}
+    assert found["grid_results"] == 2 and found["threshold_results"] == 99 and found["test_confusion"] == 4
+    if linear_or_tree:
+        assert found["importance"] == found["attribution_importance"] == len(FEATURES)
+        assert found["attribution_values"] == run.parts["test"].count()
+    stored = X.read_csv(spark, f"{path}/grid_results", infer=True).orderBy("point").collect()
+    assert [r["pr_auc"] for r in stored] == [pytest.approx(r["pr_auc"]) for r in sorted(grid.collect(), key=lambda r: r["point"])]
     record = spark.read.json(f"{path}/run_record").first()
     assert record["champion_model"] == run.champion and list(record["features"]) == list(FEATURES)
     cells = sum(r["rows"] for r in run.test_confusion.collect())
