@@ -870,6 +870,33 @@ _fit_query("gbt_fit", "boosting")
 _fit_query("mlp_fit", "perceptron")
 
 
+@query("leafwise_boosting")
+def leafwise_boosting(spark, sf_dir):
+    """Boosting best leaf first, 40 trees of 31 leaves: validation rows scored, and trees or losses that break a bound."""
+    from panelmill.operators import boosting as B
+    from panelmill.operators.models import class_weights
+
+    parts = _parts(spark, sf_dir)
+
+    def make():
+        w = class_weights(parts["train"], "retained").first()  # one row
+        return B.fit(parts["train"], B.Growth(trees=40, rate=0.1), weights=(w["negative_weight"], w["positive_weight"]))
+
+    model = _once(spark, sf_dir, "leafwise", make)
+    losses = [model.losses[k] for k in sorted(model.losses)]
+    return B.scored(parts["validation"], model).agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col(TARGET) == 1).alias("positives"),
+        F.count_if(~F.coalesce(F.col(S.PROBABILITY).between(0, 1), F.lit(False))).alias("out_of_range"),
+    ).select(
+        "*",
+        F.lit(len(model.trees)).alias("trees"),
+        F.lit(sum(len(t.values) > 31 for t in model.trees)).alias("trees_too_large"),
+        F.lit(sum(len(t.columns) != 15 for t in model.trees)).alias("draws_off"),
+        F.lit(sum(b >= a for a, b in zip(losses, losses[1:]))).alias("losses_not_falling"),
+    )
+
+
 @query("logistic_gradient")
 def logistic_gradient(spark, sf_dir):
     """Largest slope of the penalised weighted loss at the fitted coefficients, and rows it is taken over."""
