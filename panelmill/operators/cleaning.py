@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelmill.functions.columns import apply_rule, standardize_columns
@@ -28,17 +28,19 @@ def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def dedupe(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: the smallest by all remaining columns, NULL lowest.
 
-    The choice is a total order, so every run keeps the same row. It is written
-    as ``min(struct)`` rather than as a ranking window because an aggregate
-    combines before the shuffle: a key that repeats in a third of all rows sends
-    one row per input partition instead of landing whole in one task.
+    The choice is a total order, so every run keeps the same row. It is a ranking of which only the first
+    row is asked for: each input partition ranks its own rows before the shuffle and sends one a key, so that a
+    key that repeats in a third of all rows doesn't land whole in one task.
     """
     key = list(key)
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.distinct()
-    kept = df.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_kept"))
-    return kept.select(*[c if c in key else F.col(f"_kept.{c}").alias(c) for c in df.columns])
+    rank = "_rank"
+    while rank in df.columns:
+        rank += "_"
+    order = Window.partitionBy(*[F.col(f"`{c}`") for c in key]).orderBy(*[F.col(f"`{c}`") for c in rest])
+    return df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
 
 
 def clean(raw: DataFrame, entity: str | EntitySpec) -> DataFrame:
