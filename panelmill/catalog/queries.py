@@ -897,6 +897,27 @@ def leafwise_boosting(spark, sf_dir):
     )
 
 
+@query("relu_network")
+def relu_network(spark, sf_dir):
+    """The network of rectified units, at most 30 epochs: validation rows scored, and what breaks a bound of its training."""
+    from panelmill.operators import models as L
+    from panelmill.operators import network as N
+
+    parts = _parts(spark, sf_dir)
+    prepared, vectors = _once(spark, sf_dir, "prepared", lambda: L.prepared(parts["train"]))
+    model = _once(spark, sf_dir, "relu", lambda: N.fit(vectors, N.Training(rate=0.002, epochs=30)))
+    rows = prepared.transform(parts["validation"]).select(TARGET, N.probability(model).alias("p"))
+    return rows.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col(TARGET) == 1).alias("positives"),
+        F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(False))).alias("out_of_range"),
+    ).select(
+        "*",
+        F.lit(int(len(model.losses) > 30)).alias("epochs_over"),
+        F.lit(int(min(model.losses) >= model.losses[0])).alias("nothing_learnt"),
+    )
+
+
 @query("logistic_gradient")
 def logistic_gradient(spark, sf_dir):
     """Largest slope of the penalised weighted loss at the fitted coefficients, and rows it is taken over."""

@@ -714,6 +714,8 @@ SQL |= {
     "leafwise_boosting": f"""{SPLIT_V3} select count(*) as rows, count(*) filter (churn_90d = 1) as positives, 0 as out_of_range,
         40 as trees, 0 as trees_too_large, 0 as draws_off, 0 as losses_not_falling
         from split where dataset_split = 'validation'""",
+    "relu_network": f"""{SPLIT_V3} select count(*) as rows, count(*) filter (churn_90d = 1) as positives, 0 as out_of_range,
+        0 as epochs_over, 0 as nothing_learnt from split where dataset_split = 'validation'""",
     "logistic_gradient": f"""{SPLIT_V3} select count(*) as rows, 0.0::double as steepest from split
         where dataset_split = 'train'""",
     "grid_search": f"""{SPLIT_V3} select 8 as points, 8 as distinct_points, 400.0::double as most_trees,

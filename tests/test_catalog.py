@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 FITTED = {
     "logistic_fit", "logistic_gradient", "forest_fit", "gbt_fit", "mlp_fit", "grid_search", "training_workflow",
     "batch_scoring", "high_risk_sample", "forest_importance", "linear_attribution", "tree_attribution",
-    "leafwise_boosting",
+    "leafwise_boosting", "relu_network",
 }
 NAMES = [pytest.param(n, marks=pytest.mark.slow) if n in FITTED else n for n in sorted(SQL)]
 
