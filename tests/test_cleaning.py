@@ -27,17 +27,6 @@ def test_dedupe_is_deterministic_for_a_hot_key(spark):
     assert dedupe(null_first, ["k"]).first()["a"] is None
 
 
-def test_dedupe_ranks_before_the_shuffle_and_keeps_names(spark):
-    rows = [("hot", i % 7, str(i % 11)) for i in range(300)] + [(None, 2, "x"), (None, 1, "y")]
-    df = spark.createDataFrame(rows, "`k.1` string, _rank int, `b c` string").repartition(3)
-    got = dedupe(df, ["k.1"])
-    assert got.columns == df.columns
-    plan = got._jdf.queryExecution().executedPlan().toString()  # before it runs, it is told once
-    assert plan.count("WindowGroupLimit") == 2 and "SortAggregate" not in plan
-    assert sorted(map(tuple, got.collect()), key=str) == [("hot", 0, "0"), (None, 1, "y")]
-    assert dedupe(df.limit(0), ["k.1"]).count() == 0
-
-
 def test_reviews_recipe_turns_bad_values_into_null(spark):
     raw = spark.createDataFrame(
         [
