@@ -23,7 +23,7 @@ from panelmill.plans import reports as R
 from panelmill.plans.gold import ALL_BLOCKS, GOLD_PARTITIONS, gold, order_facts
 from panelmill.plans.medallion import ingest, refine
 from panelmill.schema import CUSTOMER, ENTITIES, FEATURES, SNAPSHOT, SPLIT, TARGET
-from panelmill.session import apply_sql_settings, scratch_path
+from panelmill.session import apply_sql_settings, scratch_path, size_tasks
 from panelmill.sources import tables as X
 from panelmill.sources.testviews import raw_tables, read_table, typed_tables
 
@@ -34,7 +34,7 @@ QUERIES: dict[str, Query] = {}
 def query(name: str):
     def add(f: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(apply_sql_settings(spark), sf_dir)
+            return f(size_tasks(apply_sql_settings(spark), sf_dir), sf_dir)
 
         QUERIES[name] = run
         return f

@@ -18,7 +18,7 @@ from panelmill.operators.orders import completed_orders
 from panelmill.operators.profile import table_profile
 from panelmill.plans.gold import GOLD_PARTITIONS, gold
 from panelmill.schema import ENTITIES, SNAPSHOT, SPLIT
-from panelmill.session import scratch_folder
+from panelmill.session import scratch_folder, size_tasks
 from panelmill.sources.tables import read_entity_csv, staged, write_parquet, write_verified
 
 
@@ -68,7 +68,7 @@ def build_gold(spark: SparkSession, silver: str, path: str, generation: str = "v
     The completed orders go to a table in the shared folder first, as three
     branches of the plan start from them; it is removed after the write.
     """
-    tables = stored_tables(spark, silver)
+    tables = stored_tables(size_tasks(spark, silver), silver)
     with scratch_folder(spark):
         completed = staged(completed_orders(tables["orders"], tables["customers"]), "completed-orders")
         write_parquet(gold(tables, generation, completed=completed), path, GOLD_PARTITIONS[generation])

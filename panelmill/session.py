@@ -19,6 +19,11 @@ SESSION_SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+#: Bytes of stored input for each partition that a shuffle starts with.
+INPUT_PER_PARTITION = 2 << 20
+#: The most bytes of shuffled partitions put together for a task, and of a split of a file.
+TASK_BYTES = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20, "spark.sql.files.maxPartitionBytes": 32 << 20}
+
 # folders of this process by application: the last one is where new paths go
 _FOLDERS: dict[str, list[str]] = {}
 
@@ -47,6 +52,27 @@ def apply_sql_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_tasks(spark: SparkSession, *folders: str) -> SparkSession:
+    """Let the number of tasks follow the stored input, so that the memory of one does not.
+
+    A purchase is exploded over its months right after a shuffle, so a task needs many times what it reads. With a fixed number of
+    shuffle partitions that grows with the input. Here shuffles start with as many as the folders ask for, of which
+    adaptive execution puts small ones together. More partitions or smaller tasks that somebody asked for stay.
+    """
+    jvm, stored = spark._jvm, 0
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        stored += system.getContentSummary(path).getLength() if system.exists(path) else 0
+    first = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if stored // INPUT_PER_PARTITION > int(spark.conf.get(first, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(first, str(stored // INPUT_PER_PARTITION))
+    for key, most in TASK_BYTES.items():
+        if jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) > most:
+            spark.conf.set(key, str(most))
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
