@@ -46,3 +46,16 @@ def test_without_values(spark):
     df = spark.createDataFrame([(None, 1)], "a double, b int")
     assert [tuple(r) for r in Q.quantiles(df, ["a", "b"], (0.5,)).collect()] == [("b", 0.5, 1.0)]
     assert Q.quantiles(df.limit(0), ["a", "b"], (0.5,)).count() == 0
+
+
+def test_a_value_is_looked_up_among_the_ranges_of_its_column(spark, monkeypatch):
+    """With many shares, each value was paired with every range of its column."""
+    monkeypatch.setattr(Q, "FEW", 5)
+    df = spark.range(3000).selectExpr("cast(id as double) / 7 + 1 as a", "if(id % 9 = 0, null, if(id % 9 = 1, double('nan'), -id * 1.0)) as b")
+    inside = Q._inside(df, ["a", "b"], {(0, 1.0, 2.0): 0, (0, 3.0, 4.0): 1, (1, -20.0, -0.0): 2})
+    assert not [n for n in inside._jdf.queryExecution().executedPlan().toString().split() if n.endswith("Join")]
+    assert {r["_range"]: r["count"] for r in inside.groupBy("_range").count().collect()} == {0: 8, 1: 8, 2: 15}
+    shares = [k / 20 for k in range(1, 20)]
+    rows = sorted(r["a"] for r in df.collect())
+    got = {r["share"]: r["value"] for r in Q.quantiles(df, ["a"], shares).collect()}
+    assert got == {s: rows[max(1, math.ceil(len(rows) * s)) - 1] for s in shares}
