@@ -63,3 +63,20 @@ def test_no_snapshot_pairing_in_the_label(make_orders, shuffled_joins):
     orders = make_orders([("1", "a", "2018-01-05 09:00:00"), ("2", "a", "2018-09-05 09:00:00")])
     text = plan(P.forward_label(orders, P.V3))
     assert "SortMergeJoin" not in text and "CartesianProduct" not in text
+
+
+def test_words_of_a_customer_meet_before_they_are_spread_over_months(spark, shuffled_joins):
+    text = plan(gold(typed_tables(spark, SF_SMALL), "v3", ALL_BLOCKS))
+    assert text.count("REBALANCE_PARTITIONS_BY_COL") == 1
+
+
+def test_stored_items_are_not_read_again(spark):
+    tables = typed_tables(spark, SF_SMALL)
+    completed = O.completed_orders(tables["orders"], tables["customers"])
+    owned = O.owned_items(tables["order_items"], completed)
+    stored = spark.createDataFrame(owned.collect(), owned.schema)
+    for generation in ("v1", "v2", "v3"):
+        exact = [c for c in gold(tables, generation).columns if c.startswith(("order_count", "item_count", "unique_", "customer_", "observation_"))]
+        whole, from_stored = gold(tables, generation).select(exact), gold(tables, generation, completed=completed, owned=stored).select(exact)
+        assert "lineitem" not in plan(from_stored)
+        assert whole.count() > 0 and whole.exceptAll(from_stored).count() == from_stored.exceptAll(whole).count() == 0
