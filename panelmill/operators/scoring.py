@@ -39,11 +39,12 @@ def reject_reasons(
     df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]] = FEATURE_BOUNDS
 ) -> DataFrame:
     """Add ``reject_reasons``: one entry per broken constraint, empty for a valid row."""
-    entries = [
-        F.when(flag, f"{name}: {reason}")
-        for name, (low, high) in bounds.items()
-        for flag, reason in zip(_broken(name, low, high), REASONS)
-    ]
+    entries = []
+    for name, (low, high) in bounds.items():
+        entry = F  # one case for a feature: its flags exclude each other
+        for flag, reason in zip(_broken(name, low, high), REASONS):
+            entry = entry.when(flag, f"{name}: {reason}")
+        entries.append(entry)
     nothing = F.array(F.lit(None).cast("string"))  # an expression of its own code, unlike a filter by function
     checked = _with_numbers(df, bounds).withColumn("reject_reasons", F.array_except(F.array(*entries), nothing))
     return checked.drop(*[f"_v_{name}" for name in bounds])

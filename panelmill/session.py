@@ -17,6 +17,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A JVM never compiles a method of more bytes. A stage with one runs by operators instead, whose methods are split.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 #: Bytes of stored input for each partition that a shuffle starts with.

@@ -10,6 +10,7 @@ from panelmill.operators import scoring as S
 from panelmill.plans.gold import ALL_BLOCKS, gold
 from panelmill.plans.reports import CHURN_BY_ORDERS
 from panelmill.schema import FEATURES
+from panelmill.session import apply_sql_settings
 from panelmill.sources.testviews import typed_tables
 from tests.conftest import SF_SMALL
 
@@ -80,3 +81,7 @@ def test_stored_items_are_not_read_again(spark):
         whole, from_stored = gold(tables, generation).select(exact), gold(tables, generation, completed=completed, owned=stored).select(exact)
         assert "lineitem" not in plan(from_stored)
         assert whole.count() > 0 and whole.exceptAll(from_stored).count() == from_stored.exceptAll(whole).count() == 0
+
+
+def test_no_method_is_too_large_to_be_compiled(spark):
+    assert int(apply_sql_settings(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
