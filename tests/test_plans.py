@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import pytest
 
+from panelmill.catalog.queries import _facts
 from panelmill.operators import orders as O
 from panelmill.operators import panel as P
 from panelmill.operators import scoring as S
 from panelmill.plans.gold import ALL_BLOCKS, gold
 from panelmill.plans.reports import CHURN_BY_ORDERS
-from panelmill.schema import FEATURES
+from panelmill.schema import FEATURES, TARGET
 from panelmill.session import apply_sql_settings
 from panelmill.sources.testviews import typed_tables
 from tests.conftest import SF_SMALL
@@ -85,3 +86,10 @@ def test_stored_items_are_not_read_again(spark):
 
 def test_no_method_is_too_large_to_be_compiled(spark):
     assert int(apply_sql_settings(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_decisions_are_checked_without_a_join(spark):
+    exact = spark.createDataFrame([("a", 1, 0.7), ("b", 0, 0.2)], f"customer_unique_id string, {TARGET} int, {S.PROBABILITY} double")
+    right = _facts(exact, lambda rows: S.decide(rows, 0.5), 0.5, "m")
+    assert "Join" not in plan(right) and tuple(right.first()) == ("m", 2, 1, 0, 0, 0, 0)
+    assert _facts(exact, lambda rows: S.decide(rows, 0.9), 0.5, "m").first()["decisions_off"] == 1
