@@ -155,6 +155,12 @@ def keyed(classes: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "key bigint, fp bigint, probe boolean")
 
 
+def by_lists(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Join on key, both sides sorted. Spark sizes keys by the fingerprints they are made of, some 183 times too low,
+    and would send all hubs through the driver to every task."""
+    return left.hint("merge").join(right.hint("merge"), "key")
+
+
 def _near(a: str, b: str):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= BITS
 
@@ -167,7 +173,7 @@ def _open_lists(members: DataFrame, groups: DataFrame) -> DataFrame:
     """Members, with their groups, of lists of several groups."""
     own = members.select("key", "fp", "probe").join(groups.toDF("fp", "grp"), "fp", "left").withColumn("grp", F.coalesce("grp", "fp"))
     several = own.groupBy("key").agg(F.min("grp").alias("x"), F.max("grp").alias("y")).where("x <> y").select("key")
-    return staged(own.join(several, "key"), "open")
+    return staged(by_lists(own, several), "open")
 
 
 def _open_pairs(members: DataFrame) -> tuple[int, int]:
@@ -183,7 +189,7 @@ def links(classes: DataFrame, pairs_each: int = PAIRS_EACH, rounds: int = ROUNDS
     """Links (a, b) that connect all fingerprints of at most four differing bits, and the groups of those linked."""
     keys = keyed(classes)
     hubs = keys.where("probe").groupBy("key").agg(F.min("fp").alias("hub"))
-    met = staged(keys.join(hubs, "key").where("fp <> hub"), "met")
+    met = staged(by_lists(keys, hubs).where("fp <> hub"), "met")
     found = _linked(met)
     groups = components(found)
     members = met.select("key", "fp", "probe").unionAll(met.select("key", F.col("hub").alias("fp"), F.lit(True)).distinct())
@@ -198,7 +204,7 @@ def links(classes: DataFrame, pairs_each: int = PAIRS_EACH, rounds: int = ROUNDS
             drawn = F.min_by(F.struct("fp", "grp"), F.xxhash64("key", "fp", F.lit(turn)))
             hubs = members.where("probe").groupBy("key").agg(drawn.alias("h")).select("key", F.col("h.fp").alias("hub"), F.col("h.grp").alias("own"))
         # the distance is part of the join: only links leave it
-        new = _linked(members.join(hubs, "key").where((F.col("grp") != F.col("own")) & _near("fp", "hub")))
+        new = _linked(by_lists(members, hubs).where((F.col("grp") != F.col("own")) & _near("fp", "hub")))
         if not new.isEmpty():
             found = found.unionAll(new)
             groups = components(found)

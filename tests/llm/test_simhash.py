@@ -125,3 +125,16 @@ def test_golay_indices_are_the_codewords_nearby():
 
 def test_empty_table(spark):
     assert S.near_duplicates(documents(spark, [])).collect() == []
+
+
+def test_lists_are_never_broadcast(spark, monkeypatch):
+    """Spark takes keys to be as few as the fingerprints they are made of, so it sent all hubs through the driver."""
+    plans, stage = {}, S.staged
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(S, "staged", noted)
+    S.links(stage(spark.range(1000).selectExpr("xxhash64(id) as fp", "id as least"), "classes"))
+    assert "Join" in plans["met"] and "Broadcast" not in plans["met"]
