@@ -191,6 +191,29 @@ def test_leaf_attribution_matches_the_definition():
             assert got[i, j] == pytest.approx(phi)
 
 
+@pytest.mark.parametrize("bits", [1, 4, 7])
+def test_tables_by_decisions_pay_what_each_leaf_pays(bits):
+    """Trees of depth 3, features repeated on a path; values on a threshold go left."""
+    draw, leaves = np.random.default_rng(4), []
+    for _ in range(6):
+        def walk(depth, path):
+            if depth == 0:
+                names = tuple(path)
+                leaves.append(X.Leaf(draw.normal(), names, *(tuple(path[f][i] for f in names) for i in range(3))))
+                return
+            f, t, share = int(draw.integers(0, 4)), float(draw.integers(1, 5)), draw.random()
+            low, high, own = path.get(f, (-math.inf, math.inf, 1.0))
+            walk(depth - 1, {**path, f: (low, min(high, t), own * share)})
+            walk(depth - 1, {**path, f: (max(low, t), high, own * (1 - share))})
+
+        walk(3, {})
+    x = draw.integers(0, 6, (500, 4)).astype(float)
+    parts = X.parts_of(leaves, bits)
+    assert len(parts) <= len(leaves) if bits == 1 else len(parts) < len(leaves)
+    assert np.allclose(X.part_attribution(x, parts, step=200), X.leaf_attribution(x, leaves))
+    assert X.parts_of(leaves, bits, cells=10) is None
+
+
 def test_importance_tables(spark, boosted):
     table = X.model_importance(spark, boosted)
     assert table.agg(F.sum("importance_pct")).first()[0] == pytest.approx(100, abs=1e-3)
