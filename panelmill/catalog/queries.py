@@ -23,7 +23,7 @@ from panelmill.plans import reports as R
 from panelmill.plans.gold import ALL_BLOCKS, GOLD_PARTITIONS, gold, order_facts
 from panelmill.plans.medallion import ingest, refine
 from panelmill.schema import CUSTOMER, ENTITIES, FEATURES, SNAPSHOT, SPLIT, TARGET
-from panelmill.session import apply_sql_settings, scratch_path, size_tasks
+from panelmill.session import apply_sql_settings, scratch_folder, scratch_path, shuffles_removed, size_tasks
 from panelmill.sources import tables as X
 from panelmill.sources.testviews import raw_tables, read_table, typed_tables
 
@@ -136,11 +136,16 @@ def dataset_partition_read(spark, sf_dir):
 @query("scored_csv_roundtrip")
 def scored_csv_roundtrip(spark, sf_dir):
     """A scoring batch read from CSV, scored by a rule, written with its extra columns, read again."""
-    batch = panel(spark, sf_dir, "v3", ALL_BLOCKS).select(CUSTOMER, SNAPSHOT, *FEATURES)
-    source = X.write_csv(batch, scratch_path(spark, "batch"))
-    rows = S.numeric_features(X.read_scoring_batch(spark, source))
-    scored = S.decide(rows.withColumn(S.PROBABILITY, _heuristic()), 0.5)
-    back = X.read_csv(spark, X.write_csv(scored, scratch_path(spark, "scored")), infer=True)
+    path = scratch_path(spark, "scored")
+    with scratch_folder(spark), shuffles_removed(spark):  # the batch goes when its scores have been written
+        source = scratch_path(spark, "batch")
+        with scratch_folder(spark):  # and what it is made of before
+            batch = panel(spark, sf_dir, "v3", ALL_BLOCKS).select(CUSTOMER, SNAPSHOT, *FEATURES)
+            X.write_csv(batch, source, compression="gzip")
+        rows = S.numeric_features(X.read_scoring_batch(spark, source))
+        scored = S.decide(rows.withColumn(S.PROBABILITY, _heuristic()), 0.5)
+        X.write_csv(scored, path, compression="gzip")
+    back = X.read_csv(spark, path, infer=True)
     return shown(back, CUSTOMER, SNAPSHOT, "order_count_180d", S.PROBABILITY, "churn_prediction", "risk_band").withColumn(
         CUSTOMER, F.col(CUSTOMER).cast("string")
     )

@@ -124,6 +124,24 @@ def scratch_folder(spark: SparkSession) -> Iterator[str]:
         _remove(spark, path)
 
 
+#: Spark's switch for removing the files of a query's shuffles when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries in the block leave no shuffle files; else these stay until the driver happens to collect its garbage.
+
+    For writes, whose frames are not run again. A Spark that lacks the switch ignores it.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the present scratch folder."""
     return f"{_folders(spark)[-1]}/{name}-{uuid.uuid4().hex[:12]}"

@@ -118,8 +118,9 @@ def write_verified(df: DataFrame, path: str, name: str, partition_by: Sequence[s
     return read_back(df.sparkSession, path, name, len(df.columns), sent.get["rows"])
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options: Any) -> str:
+    """CSV with a header line. Tables that only later steps read are better compressed (``compression="gzip"``)."""
+    df.write.mode(mode).option("header", True).options(**options).csv(path)
     return path
 
 
