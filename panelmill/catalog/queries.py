@@ -89,13 +89,19 @@ def completed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("csv_bronze_silver")
 def csv_bronze_silver(spark, sf_dir):
     """All nine raw files: CSV to bronze to silver; rows of each stage as verified after the write."""
-    raw, bronze, silver = (scratch_path(spark, n) for n in ("raw", "bronze", "silver"))
-    for name, df in raw_tables(spark, sf_dir).items():
-        df.write.options(
-            header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        ).csv(f"{raw}/{name}.csv")
-    first, second = ingest(spark, raw, bronze), refine(spark, bronze, silver)
-    return first.select(
+    silver, verified = scratch_path(spark, "silver"), scratch_path(spark, "verified")
+    with scratch_folder(spark), shuffles_removed(spark):  # each stage goes when the next one has been written and verified
+        bronze = scratch_path(spark, "bronze")
+        with scratch_folder(spark):
+            raw = scratch_path(spark, "raw")
+            for name, df in raw_tables(spark, sf_dir).items():
+                df.write.options(
+                    header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression="gzip"
+                ).csv(f"{raw}/{name}.csv")
+            first = ingest(spark, raw, bronze)
+        X.write_parquet(first, verified)
+        second = refine(spark, bronze, silver)
+    return X.read_parquet(spark, verified).select(
         "dataset", "rows", "columns", "verified_rows", "verified_columns"
     ).join(second.select("dataset", F.col("verified_rows").alias("silver_rows")), "dataset")
 

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelmill.catalog.queries import QUERIES
 from panelmill.operators import ensembles
 from panelmill.operators import models as L
 from panelmill.operators.metrics import FINE_SWEEP
 from panelmill.operators.scoring import with_probability
 from panelmill.plans import medallion, training
 from panelmill.schema import FEATURES, TARGET
-from panelmill.session import scratch_folder, scratch_path
+from panelmill.session import SHUFFLE_CLEANUP, scratch_folder, scratch_path
 from panelmill.sources import tables as X
 from panelmill.sources.testviews import raw_tables, typed_tables
 from tests.conftest import SF_SMALL
@@ -180,3 +185,18 @@ def test_scoring_batch_needs_its_columns(spark):
     with pytest.raises(ValueError, match="recency_days"):
         X.read_scoring_batch(spark, path)
     assert X.inline_rows(spark, [(1, "a")], ["n", "s"]).columns == ["n", "s"]
+
+
+@pytest.mark.parametrize("name", ["scored_csv_roundtrip", "csv_bronze_silver"])
+def test_stages_between_files_are_compressed_and_go(spark, name, monkeypatch):
+    """Batches, raw files and bronze tables stayed until the application ended, as plain text."""
+    made, csv = [], DataFrameWriter.csv
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, path, *a, **k: (csv(self, path, *a, **k), made.extend(Path(urlparse(path).path).glob("part-*"))))
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    folder = Path(urlparse(scratch_path(spark, "x")).path).parent
+    held = set(folder.iterdir()) if folder.exists() else set()
+    rows = QUERIES[name](spark, SF_SMALL).count()
+    assert rows and made and all(p.name.endswith(".csv.gz") for p in made)
+    left = {p.name.rsplit("-", 1)[0] for p in folder.iterdir() if p not in held}
+    assert left == ({"scored"} if name == "scored_csv_roundtrip" else {"silver", "verified"})
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
